@@ -17,6 +17,8 @@ ORACLES: dict[str, str] = {}
 def with_trades(sql: str) -> str:
     """Prepend the ``trades`` CTE (and chain further CTEs after it)."""
     body = sql.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return "WITH RECURSIVE " + TRADES_CTE_SQL + ",\n" + body[15:]
     if body.upper().startswith("WITH "):
         return "WITH " + TRADES_CTE_SQL + ",\n" + body[5:]
     return "WITH " + TRADES_CTE_SQL + "\n" + body
