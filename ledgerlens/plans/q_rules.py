@@ -23,6 +23,14 @@ def _flat_scored(df):
         F.col("is_same_token"), F.col("is_fraud"))
 
 
+def _flat_scored_from_trades(t):
+    """Rule scoring of flat trades (trader = transaction hash)."""
+    s = R.rule_flags(t, buy="buy_amount", sell="sell_amount", buy_symbol="buy_currency", sell_symbol="sell_currency")
+    s = R.evaluate_trade(s, amount="buy_amount")
+    s = R.rapid_transactions(s, None, trader_col="tx_hash", time_col="block_unixtime", hash_col="tx_hash")
+    return R.fraud_flag(s).select("tx_hash", "block_unixtime", "is_fraud")
+
+
 def _messages(spark, sf):
     return M.encode_messages(trades(spark, sf))
 
