@@ -174,5 +174,7 @@ def graph_metrics(trades: DataFrame, multi_edges: bool = False):
     v = G.build_vertices(trades)
     e = G.raw_edges(trades) if multi_edges else G.build_edges(trades)
     ranks = G.pagerank(v, e)
-    m = address_metrics(v, e, trades, ranks)
+    # read by several consumers (counts, statistics, K-means passes): cached;
+    # a lost block is recomputed from the checkpointed ranks and the scans
+    m = address_metrics(v, e, trades, ranks).persist()
     return v, e, ranks, m
