@@ -212,11 +212,13 @@ def q_rapid_transactions(spark, sf):
 
 @register("history_scan", """
 SELECT tx_hash, block_unixtime, buy_address FROM trades WHERE analyzed AND block_unixtime BETWEEN
-  (SELECT min(block_unixtime) - 180 FROM trades WHERE NOT analyzed AND protocol = '1-URGENT')
-  AND (SELECT max(block_unixtime) FROM trades WHERE NOT analyzed AND protocol = '1-URGENT')""")
+  (SELECT min(block_unixtime) - 180 FROM trades WHERE NOT analyzed)
+  AND (SELECT max(block_unixtime) FROM trades WHERE NOT analyzed)""")
 def q_history_scan(spark, sf):
+    """History (analyzed trades) that can fall in a rule frame of the batch
+    (trades not yet analyzed)."""
     t = trades(spark, sf)
-    batch = t.where(~F.col("analyzed") & (F.col("protocol") == "1-URGENT"))
+    batch = t.where(~F.col("analyzed"))
     lo, hi = R.time_bounds(batch, "block_unixtime")
     return R.history_scan(t.where(F.col("analyzed")), lo, hi, time_col="block_unixtime").select(
         "tx_hash", "block_unixtime", "buy_address")

@@ -78,11 +78,13 @@ GRAPH_VERTICES = T.StructType([
     _f("id", S, False), _f("total_buy_volume", D), _f("buy_transactions", L),
     _f("total_sell_volume", D), _f("sell_transactions", L), _f("symbol", S),
     _f("total_transactions", L), _f("total_volume", D),
+    _f("analysis_timestamp", TS),      # run stamp, so readers can pick the latest run
 ])
 
 GRAPH_EDGES = T.StructType([
     _f("src", S, False), _f("dst", S, False), _f("total_buy_value", D), _f("total_sell_value", D),
     _f("transaction_count", L), _f("avg_gas_price", D), _f("latest_timestamp", TS), _f("weight", D),
+    _f("analysis_timestamp", TS),
 ])
 
 IMPORTANT_ADDRESSES = T.StructType([

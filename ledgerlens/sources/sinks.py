@@ -32,6 +32,8 @@ def stamp(df: DataFrame, column: str, as_of) -> DataFrame:
 def prepare(name: str, df: DataFrame, as_of) -> DataFrame:
     """Stamp and conform one result frame to its table schema."""
     schema = schemas.RESULT_TABLES[name]
+    if "latest_timestamp" in df.columns and df.schema["latest_timestamp"].dataType.typeName() in ("long", "integer"):
+        df = df.withColumn("latest_timestamp", F.timestamp_seconds("latest_timestamp"))   # epoch -> timestamp
     col = STAMP_COLUMN.get(name)
     if col and col in schema.fieldNames():
         df = stamp(df, col, as_of)
