@@ -52,3 +52,18 @@ def test_batch_job_with_history_from_its_own_sink(spark):
          for r in again.collect()}
     assert a.keys() == b.keys() and all(b[k] >= 2 * a[k] - 0 for k in a if a[k] == 1)
     assert again.count() == first.count()
+
+
+def test_graph_job_end_to_end(spark):
+    from ledgerlens.plans import graph_job
+    base = tempfile.mkdtemp(prefix="ll-graph-")
+    t = trades(spark, SF001)
+    out = graph_job.run_graph_job(t, os.path.join(base, "results"), os.path.join(base, "trades_v2"),
+                                  "2001-07-31 00:00:00")
+    assert {"graph_vertices", "graph_edges", "important_addresses", "token_pairs",
+            "graph_based_anomalous_addresses"} <= set(out["written"])
+    snap = spark.read.parquet(out["snapshot"])
+    assert snap.count() == t.count()
+    loaded = t.where(~F.col("analyzed") & (F.col("detection_time") < F.lit("2001-07-30 22:30:00").cast("timestamp")))
+    hashes = loaded.select("tx_hash").distinct()
+    assert snap.join(hashes, "tx_hash", "left_semi").where(~F.col("analyzed")).count() == 0
