@@ -68,7 +68,7 @@ def vertex_style(top: DataFrame) -> DataFrame:
     w = Window.orderBy(F.col("_s").asc_nulls_last())
     ranked = ranked.withColumn("_r", F.dense_rank().over(w) - 1)
     return ranked.select("id", "symbol", "total_volume", size.alias("size"),
-                         F.when(has_sym, F.col("_r")).otherwise(F.lit(0)).alias("color_index"))
+                         F.when(has_sym, F.col("_r")).otherwise(F.lit(0)).cast("long").alias("color_index"))
 
 
 def edge_style(sub_edges: DataFrame) -> DataFrame:
