@@ -93,14 +93,20 @@ def volume_ratio_low(metrics: DataFrame, low: float = LOW_RATIO, min_tx: int | N
     return _valid_id(v.where(cond))
 
 
-def zscore(metrics: DataFrame, cols=tuple(METRIC_FEATURES), prefix: str = "s_") -> DataFrame:
+def column_stats(metrics: DataFrame, cols=tuple(METRIC_FEATURES)):
+    """Row count, means and sample stds in one global aggregation (partial
+    per task); a fixed-size result read back to the driver."""
+    return metrics.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias("m_" + c) for c in cols],
+                       *[F.stddev_samp(c).alias("s_" + c) for c in cols]).first()
+
+
+def zscore(metrics: DataFrame, cols=tuple(METRIC_FEATURES), prefix: str = "s_", stats=None) -> DataFrame:
     """Standardise with the mean and the sample std of the whole table; a
     zero std gives 0 (the convention of Spark ML's StandardScaler).
 
-    The 2 x len(cols) statistics are one global aggregation (partial per
-    task) read back as literals: a fixed-size result, no cross join."""
-    st = metrics.agg(*[F.avg(c).alias("m_" + c) for c in cols],
-                     *[F.stddev_samp(c).alias("s_" + c) for c in cols]).first()
+    The statistics are one global aggregation read back as literals: a
+    fixed-size result, no cross join."""
+    st = stats if stats is not None else column_stats(metrics, cols)
     out = metrics
     for c in cols:
         m, s = st["m_" + c], st["s_" + c]
@@ -123,11 +129,12 @@ def kmeans_clusters(metrics: DataFrame, cols=tuple(METRIC_FEATURES), max_k: int
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    n = metrics.count()
+    st = column_stats(metrics, cols)          # one pass gives n and the scaler
+    n = st["n"]
     if n < min_rows:
         return None, []
     k = max(2, min(max_k, int(n / 5)))
-    z = zscore(metrics, cols)
+    z = zscore(metrics, cols, stats=st)
     feats = F.array(*[F.col("s_" + c) for c in cols])
     data = z.withColumn("scaled", feats).withColumn("features", array_to_vector("scaled"))
     model = KMeans(k=k, seed=seed, featuresCol="features").fit(data.sort("id"))
@@ -174,7 +181,5 @@ def graph_metrics(trades: DataFrame, multi_edges: bool = False):
     v = G.build_vertices(trades)
     e = G.raw_edges(trades) if multi_edges else G.build_edges(trades)
     ranks = G.pagerank(v, e)
-    # read by several consumers (counts, statistics, K-means passes): cached;
-    # a lost block is recomputed from the checkpointed ranks and the scans
-    m = address_metrics(v, e, trades, ranks).persist()
+    m = address_metrics(v, e, trades, ranks)
     return v, e, ranks, m

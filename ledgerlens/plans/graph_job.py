@@ -61,4 +61,5 @@ def run_graph_job(trades_table: DataFrame, results_path: str, snapshot_path: str
     written = SK.save_results({**graph_tables, **network, **anomalies}, results_path, as_of)
     marked = SK.mark_analyzed(trades_table, batch)
     SK.write_snapshot(marked, snapshot_path)
+    shared["components"].unpersist()
     return {"written": written, "snapshot": snapshot_path}
