@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 from . import graph as G
 
 METRIC_FEATURES = ["inDegree", "outDegree", "pagerank", "sent_volume", "received_volume",
@@ -129,6 +130,11 @@ def kmeans_clusters(metrics: DataFrame, cols=tuple(METRIC_FEATURES), max_k: int
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
+    # statistics, k-means|| init, the iterations and the assignment all read
+    # the metrics: materialise them once (reliable checkpoint, survives
+    # executor loss) instead of recomputing the graph for every pass
+    checkpoint_dir(metrics.sparkSession)
+    metrics = metrics.checkpoint()
     st = column_stats(metrics, cols)          # one pass gives n and the scaler
     n = st["n"]
     if n < min_rows:
