@@ -16,6 +16,7 @@ from ..session import ensure_conf
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of one driver table (column pruning and filter pushdown
     happen when the caller selects / filters)."""
+    ensure_conf(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 

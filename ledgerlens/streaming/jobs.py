@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..operators import features as FT
 from ..plans import stream_scorer
-from ..session import scratch_path
+from ..session import ensure_conf, scratch_path
 from ..sources import messages as M
 
 EVENTS_SCHEMA = T.StructType([
@@ -25,6 +25,7 @@ def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
                    glob: str | None = None) -> DataFrame:
     """Unbounded source of raw JSON messages (one per line) in a folder. A
     Kafka source (``value`` cast to string) plugs into the same code."""
+    ensure_conf(spark)
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
@@ -35,6 +36,7 @@ def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
 
 def event_stream(spark: SparkSession, folder: str, glob: str = "events.parquet",
                  max_files_per_trigger: int | None = None) -> DataFrame:
+    ensure_conf(spark)
     r = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
