@@ -13,7 +13,7 @@ from ..operators import features as FT
 from ..operators import iforest as IF
 from ..session import scratch_path
 from ..sources import messages as M
-from ..sources.tables import trades
+from ..sources.tables import read_table, trades
 from ..streaming import jobs as SJ
 from . import q_features as QF
 from . import stream_scorer
@@ -68,6 +68,32 @@ def q_stream_windows(spark, sf):
     return out.select("window_start", "event_type", "n", F.round("total_value", 4).alias("total_value"))
 
 
+def _event_windows(stream):
+    ev = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    return SJ.stream_windows(ev, "ts", "1 hour", "0 seconds", keys=("event_type",),
+                             aggs=[F.count(F.lit(1)).alias("n"), F.sum("value").alias("total_value")])
+
+
+@register("stream_late_drop", ORACLES["stream_windows"], trades_cte=False)
+def q_stream_late_drop(spark, sf):
+    """Events land in three time-ordered slices, then the first slice is
+    replayed. The same streaming query (one checkpoint) runs after each
+    landing; by the replay the watermark has passed every replayed row, so
+    they are dropped and the closed windows equal those of one clean pass."""
+    ev = read_table(spark, sf, "events")
+    u = F.unix_seconds(F.col("ts").cast("timestamp"))
+    b = ev.agg(F.min(u).alias("lo"), F.max(u).alias("hi")).first()
+    cuts = [b["lo"] + (b["hi"] - b["lo"] + 1) * i // 3 for i in range(4)]
+    slices = [(cuts[i], cuts[i + 1]) for i in range(3)] + [(cuts[0], cuts[1])]
+    landing, sink = scratch_path(spark, "events_landing"), scratch_path(spark, "late_drop")
+    out = None
+    for i, (lo, hi) in enumerate(slices):
+        ev.where((u >= lo) & (u < hi)).write.parquet(f"{landing}/arrival={i}")
+        stream = SJ.event_stream(spark, landing, glob="*.parquet", recursive=True)
+        out = SJ.run_available_now(_event_windows(stream), "late_drop", sink_path=sink)
+    return out.select("window_start", "event_type", "n", F.round("total_value", 4).alias("total_value"))
+
+
 @register("stream_dedup", QF._FEATURES_SQL.join(["WITH f AS (", ""]) + """),
 r AS (SELECT *, row_number() OVER (PARTITION BY window_start, unique_id
         ORDER BY protocol NULLS FIRST, block_unixtime NULLS FIRST, block_height NULLS FIRST, tx_hash NULLS FIRST,

@@ -34,10 +34,14 @@ def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
     return r.load(path)
 
 
-def event_stream(spark: SparkSession, folder: str, glob: str = "events.parquet",
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+def event_stream(spark: SparkSession, folder: str, glob: str | None = "events.parquet",
+                 max_files_per_trigger: int | None = None, recursive: bool = False) -> DataFrame:
     ensure_conf(spark)
-    r = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", glob)
+    r = spark.readStream.schema(EVENTS_SCHEMA)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    if recursive:
+        r = r.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return r.parquet(folder)
