@@ -52,10 +52,17 @@ def history_scan(history: DataFrame, lo, hi, time_col: str = "block.timestamp.un
                  lookback: int = X.RAPID_SECONDS) -> DataFrame:
     """History rows that can fall in a rule frame of the batch:
     ``lo - lookback <= t <= hi``. Literal bounds, so the predicate reaches
-    the Parquet scan (row-group skipping on the time column)."""
+    the Parquet scan (row-group skipping on the time column); on the scored
+    table, partitioned by ``block_date``, the same bounds prune partitions."""
     if lo is None or hi is None:
         return history.limit(0)
-    return history.where(F.col(time_col).between(F.lit(int(lo) - lookback), F.lit(int(hi))))
+    lo_s, hi_s = int(lo) - lookback, int(hi)
+    out = history.where(F.col(time_col).between(F.lit(lo_s), F.lit(hi_s)))
+    if "block_date" in history.columns:
+        # the scored table is partitioned by block date: prune whole folders too
+        day = lambda t: F.to_date(F.timestamp_seconds(F.lit(t)))
+        out = out.where(F.col("block_date").between(day(lo_s), day(hi_s)))
+    return out
 
 
 def rapid_transactions(batch: DataFrame, history: DataFrame | None = None,
