@@ -98,3 +98,19 @@ def test_null_audit_and_required_filter(spark):
     assert audit.rows == 2 and audit.null_block == 1 and audit.null_transaction == 1
     assert R.required_filter(p).count() == 1
     assert schemas.conform(p, schemas.BATCH_SCORED).columns == schemas.BATCH_SCORED.fieldNames()
+
+
+def test_bucketed_window_with_history_equals_plain_union_window(spark):
+    rnd = random.Random(11)
+    hist_rows = [(f"k{rnd.randint(0, 5)}", rnd.randint(0, 3 * 86400), 1.0, 1.0, "A", "B") for _ in range(800)]
+    batch_rows = [(f"k{rnd.randint(0, 5)}", rnd.randint(0, 3 * 86400), 1.0, 1.0, "A", "B") for _ in range(800)]
+    hist = spark.createDataFrame(hist_rows, FLAT).withColumn("trader", F.concat(F.col("tx_hash"), F.lit("")))
+    batch = spark.createDataFrame(batch_rows, FLAT).withColumn("trader", F.concat(F.col("tx_hash"), F.lit("")))
+    ours = R.rapid_transactions(batch, hist, trader_col="trader", time_col="block_unixtime", hash_col="tx_hash",
+                                bucket_seconds=7200)
+    u = batch.withColumn("cur", F.lit(True)).unionByName(hist.withColumn("cur", F.lit(False)))
+    plain = u.withColumn("n", F.count("tx_hash").over(
+        Window.partitionBy("trader").orderBy("block_unixtime").rangeBetween(-180, 0))).where("cur")
+    a = sorted((r.trader, r.block_unixtime, r.n) for r in plain.collect())
+    b = sorted((r.trader, r.block_unixtime, r.transactions_in_window) for r in ours.collect())
+    assert a == b and len(b) == 800
