@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, simhash, token_output, topk
+from . import decontam, line_dedup, packing, quality, simhash, suffix_dedup, token_output, topk, toxicity
 from .common import read
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -49,6 +49,50 @@ def op2(spark, sf_dir):
     return topk.top_k(read(spark, sf_dir, "embeddings"), k=5, every=50)
 
 
+def _decontam_sql() -> str:
+    numbers, units = (", ".join(f"'{w}'" for w in x) for x in (decontam.NUMBER_WORDS, decontam.UNIT_WORDS))
+    num = f"(({{0}} >= '0' AND {{0}} < ':') OR lower({{0}}) IN ({numbers}))"
+    slots = "('<num>', '<unit>', '<name>')"
+    code = f"""list_transform(tok, lambda t, i: CASE WHEN {num.format("t")} THEN '<num>'
+        WHEN i > 1 AND {num.format("tok[i - 1]")} AND lower(t) IN ({units}) THEN '<unit>' {{0}} ELSE lower(t) END)"""
+    name = "WHEN substr(t, 1, 1) <> substr(lower(t), 1, 1) THEN '<name>'"
+    tok = f"regexp_extract_all(coalesce(text, ''), '{decontam.TOKEN}') AS tok"
+    return f"""
+WITH d AS (SELECT doc_id, {tok} FROM documents),
+b AS (SELECT item_id, {tok} FROM benchmark WHERE item_id IS NOT NULL),
+bi AS (SELECT * FROM b WHERE len(tok) >= 5),
+bf AS (SELECT item_id, len(tok) AS n, least(len(tok), 10) AS w, 0 AS form, {code.format("")} AS c FROM bi
+  UNION ALL SELECT item_id, len(tok), least(len(tok), 10), 1, {code.format(name)} FROM bi),
+bw AS (SELECT item_id, n, w, form, at, c[at + 1:at + w] AS win
+  FROM (SELECT *, unnest(range(0, n - w + 1)) AS at FROM bf)),
+bk AS (SELECT * FROM bw WHERE len(list_filter(win, lambda x: x NOT IN {slots})) >= 5
+  AND (form = 0 OR list_contains(win, '<name>'))),
+ws AS (SELECT DISTINCT w FROM bk),
+df AS (SELECT doc_id, 0 AS form, {code.format("")} AS c FROM d
+  UNION ALL SELECT doc_id, 1, {code.format(name)} FROM d),
+dw AS (SELECT doc_id, form, w, pos, c[pos + 1:pos + w] AS win
+  FROM (SELECT df.*, ws.w, unnest(range(0, greatest(0, len(c) - ws.w + 1))) AS pos FROM df, ws)),
+l AS (SELECT doc_id, item_id, pos - at AS shift, count(DISTINCT at) AS k, min(at) AS lo, max(at + w) AS hi,
+    least(3, any_value(n) - any_value(w) + 1) AS need
+  FROM dw JOIN bk USING (form, w, win) GROUP BY ALL),
+p AS (SELECT l.*, d.tok AS dt, b.tok AS it, unnest(range(lo, hi)) AS i FROM l JOIN d USING (doc_id) JOIN b USING (item_id)
+  WHERE k >= need),
+q AS (SELECT *, lower(it[i + 1]) AS a, lower(dt[i + shift + 1]) AS z,
+    ({num.format("it[i + 1]")} OR substr(it[i + 1], 1, 1) <> substr(lower(it[i + 1]), 1, 1)
+     OR (i > 0 AND {num.format("it[i]")} AND lower(it[i + 1]) IN ({units}))) AS slot FROM p),
+r AS (SELECT doc_id, item_id, shift, any_value(k) AS k, coalesce(bool_or(a <> z) FILTER (slot), false) AS changed,
+    count(DISTINCT (a, z)) FILTER (slot) AS nb, count(DISTINCT a) FILTER (slot) AS na, count(DISTINCT z) FILTER (slot) AS nz
+  FROM q GROUP BY doc_id, item_id, shift)
+SELECT doc_id, item_id, max(k)::BIGINT AS n_windows, bool_and(changed) AS changed
+FROM r WHERE nb = na AND nb = nz GROUP BY doc_id, item_id
+"""
+
+
+@query("op3_decontamination", _decontam_sql())
+def op3(spark, sf_dir):
+    return decontam.contaminated(documents(spark, sf_dir), read(spark, sf_dir, "benchmark"))
+
+
 @query("op5_token_output")
 def op5(spark, sf_dir):
     return token_output.token_output(documents(spark, sf_dir), TOKENIZER, end_id=1)
@@ -65,6 +109,28 @@ def op7(spark, sf_dir):
     return g.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def id_crc(id_col: str = "doc_id"):
+    """crc32 of the id written as text, the fold key of the two classifiers."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary"))
+
+
+def _scored(df: DataFrame, held_out) -> DataFrame:
+    return df.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                     F.when(F.col("score") >= 0.5, 1).otherwise(0).cast("int").alias("predicted"))
+
+
+@query("op8_quality")
+def op8(spark, sf_dir):
+    held_out = id_crc() % 3 == 1
+    return _scored(quality.quality_scores(documents(spark, sf_dir), read(spark, sf_dir, "labels"), held_out), held_out)
+
+
+@query("op9_toxicity")
+def op9(spark, sf_dir):
+    held_out = id_crc() % 5 == 0
+    return _scored(toxicity.toxicity_scores(documents(spark, sf_dir), read(spark, sf_dir, "labels"), held_out), held_out)
+
+
 @query("op10_line_dedup", r"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -80,3 +146,8 @@ FROM k LEFT JOIN c USING (key) GROUP BY doc_id
 def op10(spark, sf_dir):
     d = line_dedup.line_dedup(documents(spark, sf_dir), min_docs=10, min_chars=1)
     return d.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op1_suffix_dedup")
+def op1(spark, sf_dir):
+    return suffix_dedup.suffix_dedup(documents(spark, sf_dir), length=100)
