@@ -23,71 +23,72 @@ UNIT_WORDS = ("mm cm m km mg g kg lb lbs oz ml l inch inches foot feet yard yard
               "liters litre litres second seconds minute minutes hour hours day days week weeks month months year years "
               "cent cents dollar dollars euro euros percent degree degrees mph kmh watt watts volt volts").split()
 TOKEN = r"\p{N}+(?:[.,]\p{N}+)*|\p{L}+"
-NUM, UNIT, NAME = "<num>", "<unit>", "<name>"
+# the codes of the placeholders
+NUM, UNIT, NAME = 1, 2, 3
 #: Benchmark windows up to this many are broadcast; beyond it the join shuffles.
 BROADCAST_WINDOWS = 500_000
 
 
-def _is_number(t: Column) -> Column:
+def _is_number(low: Column) -> Column:
     # the ASCII digits are the characters from "0" to the one before ":"
-    return ((t >= "0") & (t < ":")) | F.lower(t).isin(NUMBER_WORDS)
+    return ((low >= "0") & (low < ":")) | low.isin(NUMBER_WORDS)
 
 
-def templates(tokens: Column) -> tuple[Column, Column]:
-    """(plain, named): both with number and unit placeholders, the second with
-    capitalised words replaced as well."""
-    def code(t: Column, i: Column, names: bool) -> Column:
-        low = F.lower(t)
-        after = (i > 0) & _is_number(F.get(tokens, i - 1))
-        c = F.when(_is_number(t), F.lit(NUM)).when(after & low.isin(UNIT_WORDS), F.lit(UNIT))
-        if names:
-            c = c.when(F.substring(t, 1, 1) != F.substring(low, 1, 1), F.lit(NAME))
-        return c.otherwise(low)
-    return (F.transform(tokens, lambda t, i: code(t, i, False)), F.transform(tokens, lambda t, i: code(t, i, True)))
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: a plain reference would be
+    inlined into the lambdas below it and computed again for every element."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
-def _windows(codes: Column, length: int) -> Column:
-    """Hash of every window; null where fewer tokens."""
-    return F.transform(F.sequence(F.lit(0), F.size(codes) - length), lambda i: F.xxhash64(F.slice(codes, i + 1, F.lit(length))))
+def templates(tokens: Column) -> Column:
+    """struct(p, n): the tokens as codes (hashes) with number and unit
+    placeholders, and the same with capitalised words replaced as well.
+    ``tokens`` must be a bound value (see _let)."""
+    def plain(low: Column) -> Column:
+        return F.transform(low, lambda t, i: F.when(_is_number(t), F.lit(NUM).cast("long"))
+                           .when(t.isin(UNIT_WORDS) & (i > 0) & _is_number(F.get(low, i - 1)), F.lit(UNIT).cast("long"))
+                           .otherwise(F.xxhash64(t)))
 
+    def both(low: Column) -> Column:
+        return _let(plain(low), lambda p: F.struct(p.alias("p"), F.transform(
+            p, lambda c, i: F.when(F.get(tokens, i) != F.get(low, i), F.lit(NAME).cast("long")).otherwise(c)).alias("n")))
+    return _let(F.transform(tokens, lambda t: F.lower(t)), both)
 
-def _literals(codes: Column) -> Column:
-    return F.size(F.filter(codes, lambda c: ~c.isin(NUM, UNIT, NAME)))
 
+def _tokens(text_col: str) -> Column:
+    return F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(TOKEN), F.lit(0))
 
-def _tokens(df: DataFrame, key: list[Column], text_col: str) -> DataFrame:
-    return df.select(*key, F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(TOKEN), F.lit(0)).alias("tok"))
 
+def _spots(codes: Column, length: int) -> Column:
+    """(pos, h) of every window of bound ``codes``; none where fewer tokens."""
+    places = F.when(F.size(codes) >= length, F.sequence(F.lit(0), F.size(codes) - length))
+    return F.transform(places, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice(codes, i + 1, F.lit(length))).alias("h")))
 
-def _exploded(df: DataFrame, keys: list[str], length: int, names: bool) -> DataFrame:
-    """(keys, pos, h) of the windows of one template form. The named form only
-    where a text has a capitalised word that changes it."""
-    plain, named = templates(F.col("tok"))
-    long_enough = df.where(F.size("tok") >= length)
-    both = long_enough.select(*keys, plain.alias("plain"), *([named.alias("named")] if names else []))
-    if not names:
-        return both.select(*keys, F.posexplode(_windows(F.col("plain"), length)).alias("pos", "h"))
-    differs = F.transform(F.sequence(F.lit(0), F.size("named") - length),
-                          lambda i: F.when(F.array_contains(F.slice("named", i + 1, F.lit(length)), NAME),
-                                           F.xxhash64(F.slice("named", i + 1, F.lit(length)))))
-    return both.where(F.array_contains("named", NAME)) \
-        .select(*keys, F.posexplode(differs).alias("pos", "h")).where(F.col("h").isNotNull())
+
+def document_windows(docs: DataFrame, key: list[Column], text_col: str, lengths: list[int]) -> DataFrame:
+    """(key, pos, h): the windows of both template forms of every text. Equal
+    forms give equal hashes and then one row."""
+    def spots(codes: Column) -> Column:
+        none = F.array().cast("array<struct<pos:int,h:bigint>>")
+        return F.concat(*[F.coalesce(_spots(codes, n), none) for n in lengths])
+    found = _let(_let(_tokens(text_col), templates), lambda s: _let(s["p"], lambda p: _let(s["n"], lambda n: F.struct(
+        spots(p).alias("p"), spots(n).alias("n")))))
+    # both lists have the same places: keep the second's entry where it differs
+    found = _let(found, lambda s: F.concat(s["p"], F.filter(s["n"], lambda x, i: x["h"] != F.get(s["p"], i)["h"])))
+    return docs.select(*key, F.inline(found))
 
 
 def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, window: int, least: int) -> DataFrame:
-    """(item, n_tok, len, pos, h, form): windows with ``least`` literal tokens;
-    an item shorter than the window has one window of its whole length."""
-    items = _tokens(benchmark.where(F.col(item_col).isNotNull()), [F.col(item_col).alias("item")], text_col) \
-        .where(F.size("tok") >= least)
-    plain, named = templates(F.col("tok"))
-    forms = items.select("item", F.size("tok").alias("n_tok"), F.least(F.size("tok"), F.lit(window)).alias("len"),
-                         F.explode(F.array(F.struct(F.lit(0).alias("form"), plain.alias("codes")),
-                                           F.struct(F.lit(1).alias("form"), named.alias("codes")))).alias("f"))
-    cut = forms.select("item", "n_tok", "len", "f.form", F.posexplode(
-        F.transform(F.sequence(F.lit(0), F.col("n_tok") - F.col("len")),
-                    lambda i: F.slice("f.codes", i + 1, F.col("len")))).alias("pos", "codes"))
-    kept = cut.where((_literals(F.col("codes")) >= least) & ((F.col("form") == 0) | F.array_contains("codes", NAME)))
-    return kept.select("item", "n_tok", "len", "pos", "form", F.xxhash64("codes").alias("h")).distinct()
+    """(item, n_tok, len, at, h): windows of both forms with ``least`` literal
+    tokens; an item shorter than the window has one window of its length."""
+    items = benchmark.where(F.col(item_col).isNotNull()) \
+        .select(F.col(item_col).alias("item"), _let(_tokens(text_col), templates).alias("f")) \
+        .select("item", F.explode(F.array("f.p", "f.n")).alias("codes")).where(F.size("codes") >= least)
+    items = items.withColumn("n_tok", F.size("codes")).withColumn("len", F.least(F.col("n_tok"), F.lit(window)))
+    cut = items.select("item", "n_tok", "len", F.posexplode(F.transform(
+        F.sequence(F.lit(0), F.col("n_tok") - F.col("len")), lambda i: F.slice("codes", i + 1, F.col("len")))).alias("at", "w"))
+    literal = F.size(F.filter("w", lambda c: (c != NUM) & (c != UNIT) & (c != NAME)))
+    return cut.where(literal >= least).select("item", "n_tok", "len", "at", F.xxhash64("w").alias("h")).distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -105,34 +106,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     each match. Empty tables give no rows."""
     wins = shared_table(benchmark_windows(benchmark, item_col, item_text_col, window, least), "bench-windows")
     lengths = [r["len"] for r in wins.select("len").distinct().collect()]      # at most ``window`` values
-    small = wins.count() <= BROADCAST_WINDOWS
+    schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, item_id " \
+             f"{benchmark.schema[item_col].dataType.simpleString()}, n_windows long, changed boolean"
+    if not lengths:
+        return docs.sparkSession.createDataFrame([], schema)
     keys = [F.col(id_col).alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th")]
-    toks = _tokens(docs, keys, text_col)
-    hits = None
-    for length in sorted(lengths):
-        of = wins.where(F.col("len") == length).drop("len").withColumnRenamed("pos", "at")
-        of = F.broadcast(of) if small else of
-        for form in (0, 1):
-            w = _exploded(toks, ["doc", "th"], length, form == 1)
-            j = w.join(of.where(F.col("form") == form), "h") \
-                .select("doc", "th", "item", "n_tok", (F.col("pos") - F.col("at")).alias("shift"), "at",
-                        F.lit(length).alias("len"))
-            hits = j if hits is None else hits.unionByName(j)
-    if hits is None:
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_windows long, changed boolean")
+    if wins.count() <= BROADCAST_WINDOWS:
+        wins = F.broadcast(wins)
+    hits = document_windows(docs, keys, text_col, lengths).join(wins, "h") \
+        .select("doc", "th", "item", "n_tok", (F.col("pos") - F.col("at")).alias("shift"), "at", "len")
     need = F.least(F.lit(aligned), F.first("n_tok") - F.first("len") + 1)
     lined = hits.groupBy("doc", "th", "item", "shift") \
         .agg(F.count_distinct("at").alias("n"), F.min("at").alias("lo"), F.max(F.col("at") + F.col("len")).alias("hi"),
              need.alias("need")).where(F.col("n") >= F.col("need")).drop("need")
     lined = shared_table(lined, "aligned")
-    with_doc = lined.join(toks.withColumnRenamed("tok", "dt").dropDuplicates(["doc", "th"])
-                          .select(F.col("doc").alias("d2"), F.col("th").alias("t2"), "dt"),
-                          F.col("doc").eqNullSafe(F.col("d2")) & (F.col("th") == F.col("t2")))
-    items = _tokens(benchmark.where(F.col(item_col).isNotNull()), [F.col(item_col).alias("item")], item_text_col) \
-        .withColumnRenamed("tok", "it")
-    both = with_doc.join(items, "item")
+    texts = docs.select(*keys, F.col(text_col).alias("body")) \
+        .select(F.col("doc").alias("d2"), F.col("th").alias("t2"), "body")
+    # only texts with aligned windows are split again
+    found = texts.join(lined.select("doc", "th").distinct(),
+                       F.col("d2").eqNullSafe(F.col("doc")) & (F.col("t2") == F.col("th")), "left_semi") \
+        .groupBy("d2", "t2").agg(F.first("body").alias("body")).select("d2", "t2", _tokens("body").alias("dt"))
+    items = benchmark.where(F.col(item_col).isNotNull()) \
+        .select(F.col(item_col).alias("item"), _tokens(item_text_col).alias("it"))
+    both = lined.join(shared_table(found, "aligned-texts"), F.col("doc").eqNullSafe(F.col("d2")) & (F.col("th") == F.col("t2"))) \
+        .join(items, "item")
     # slots: where the benchmark's token is a placeholder of the named form
-    _, named = templates(F.col("it"))
+    named = _let(F.col("it"), templates)["n"]
     both = both.withColumn("slots", F.filter(F.transform(named, lambda c, i: F.struct(
         c.isin(NUM, UNIT, NAME).alias("slot"), F.lower(F.get("it", i)).alias("a"),
         F.lower(F.get("dt", i + F.col("shift"))).alias("b"), i.alias("i"))),

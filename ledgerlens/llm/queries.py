@@ -55,7 +55,7 @@ def _decontam_sql() -> str:
     slots = "('<num>', '<unit>', '<name>')"
     code = f"""list_transform(tok, lambda t, i: CASE WHEN {num.format("t")} THEN '<num>'
         WHEN i > 1 AND {num.format("tok[i - 1]")} AND lower(t) IN ({units}) THEN '<unit>' {{0}} ELSE lower(t) END)"""
-    name = "WHEN substr(t, 1, 1) <> substr(lower(t), 1, 1) THEN '<name>'"
+    name = "WHEN t <> lower(t) THEN '<name>'"
     tok = f"regexp_extract_all(coalesce(text, ''), '{decontam.TOKEN}') AS tok"
     return f"""
 WITH d AS (SELECT doc_id, {tok} FROM documents),
@@ -63,8 +63,8 @@ b AS (SELECT item_id, {tok} FROM benchmark WHERE item_id IS NOT NULL),
 bi AS (SELECT * FROM b WHERE len(tok) >= 5),
 bf AS (SELECT item_id, len(tok) AS n, least(len(tok), 10) AS w, 0 AS form, {code.format("")} AS c FROM bi
   UNION ALL SELECT item_id, len(tok), least(len(tok), 10), 1, {code.format(name)} FROM bi),
-bw AS (SELECT item_id, n, w, form, at, c[at + 1:at + w] AS win
-  FROM (SELECT *, unnest(range(0, n - w + 1)) AS at FROM bf)),
+bw AS (SELECT item_id, n, w, form, ofs, c[ofs + 1:ofs + w] AS win
+  FROM (SELECT *, unnest(range(0, n - w + 1)) AS ofs FROM bf)),
 bk AS (SELECT * FROM bw WHERE len(list_filter(win, lambda x: x NOT IN {slots})) >= 5
   AND (form = 0 OR list_contains(win, '<name>'))),
 ws AS (SELECT DISTINCT w FROM bk),
@@ -72,13 +72,13 @@ df AS (SELECT doc_id, 0 AS form, {code.format("")} AS c FROM d
   UNION ALL SELECT doc_id, 1, {code.format(name)} FROM d),
 dw AS (SELECT doc_id, form, w, pos, c[pos + 1:pos + w] AS win
   FROM (SELECT df.*, ws.w, unnest(range(0, greatest(0, len(c) - ws.w + 1))) AS pos FROM df, ws)),
-l AS (SELECT doc_id, item_id, pos - at AS shift, count(DISTINCT at) AS k, min(at) AS lo, max(at + w) AS hi,
+l AS (SELECT doc_id, item_id, pos - ofs AS shift, count(DISTINCT ofs) AS k, min(ofs) AS lo, max(ofs + w) AS hi,
     least(3, any_value(n) - any_value(w) + 1) AS need
   FROM dw JOIN bk USING (form, w, win) GROUP BY ALL),
 p AS (SELECT l.*, d.tok AS dt, b.tok AS it, unnest(range(lo, hi)) AS i FROM l JOIN d USING (doc_id) JOIN b USING (item_id)
   WHERE k >= need),
 q AS (SELECT *, lower(it[i + 1]) AS a, lower(dt[i + shift + 1]) AS z,
-    ({num.format("it[i + 1]")} OR substr(it[i + 1], 1, 1) <> substr(lower(it[i + 1]), 1, 1)
+    ({num.format("it[i + 1]")} OR it[i + 1] <> lower(it[i + 1])
      OR (i > 0 AND {num.format("it[i]")} AND lower(it[i + 1]) IN ({units}))) AS slot FROM p),
 r AS (SELECT doc_id, item_id, shift, any_value(k) AS k, coalesce(bool_or(a <> z) FILTER (slot), false) AS changed,
     count(DISTINCT (a, z)) FILTER (slot) AS nb, count(DISTINCT a) FILTER (slot) AS na, count(DISTINCT z) FILTER (slot) AS nz

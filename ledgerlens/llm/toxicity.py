@@ -2,14 +2,14 @@
 block-max inverted index; distance-weighted votes give calibrated scores and the
 examples themselves are the evidence.
 
-Terms are words and their first letters (4 to 6), so inflected forms share a
+Terms are words and their first letters (4 to 9), so inflected forms share a
 term. The index vocabulary is chosen on the labelled sample by a likelihood
 ratio; document frequencies are counted over all documents."""
 
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -21,7 +21,7 @@ from .common import batches, shared_table, text_bytes
 
 #: Bounds of the fit: labelled rows used, taken in hash order of their ids.
 MAX_EXAMPLES = 12_000
-BLOCK = 128
+BLOCK = 256
 _EDGE = "".join(chr(i) for i in range(33, 127) if not chr(i).isalnum()) + "«»“”„‘’…–—¡¿"
 _CACHE = 300_000
 
@@ -31,7 +31,7 @@ def word_terms(chunk: str) -> tuple[str, ...]:
     w = chunk.strip(_EDGE).lower()
     if not w:
         return (chunk[0],) if chunk else ()       # marks alone: their first one
-    return (w, *("^" + w[:n] for n in (4, 5, 6) if len(w) > n))
+    return (w, *("^" + w[:n] for n in range(4, 10) if len(w) > n))
 
 
 class _Lookup(dict):
@@ -63,65 +63,45 @@ def labelled_sample(labels: DataFrame, label_col: str, held_out: Column, bound:
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
 
 
-@dataclass
 class BlockMaxIndex:
     """Unit-length example vectors as postings, cut into blocks of examples with
-    the largest weight of each (term, block)."""
-    n: int
-    block: int = BLOCK
-    postings: dict = field(default_factory=dict)     # term -> (examples, weights)
-    tops: dict = field(default_factory=dict)         # term -> (blocks, largest weight, from, to)
-
-    @classmethod
-    def build(cls, vectors: list[tuple[np.ndarray, np.ndarray]], block: int = BLOCK) -> "BlockMaxIndex":
-        self = cls(len(vectors), block)
-        if not vectors or not sum(len(t) for t, _ in vectors):
-            return self
-        term = np.concatenate([t for t, _ in vectors])
-        weight = np.concatenate([w for _, w in vectors])
-        example = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
-        order = np.lexsort((example, term))
-        term, weight, example = term[order], weight[order], example[order]
-        cuts = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))
-        for a, b in zip(cuts, [*cuts[1:], len(term)]):
-            ex, w = example[a:b], weight[a:b]
-            blocks, first = np.unique(ex // block, return_index=True)
-            self.postings[int(term[a])] = (ex, w)
-            self.tops[int(term[a])] = (blocks, np.maximum.reduceat(w, first), first, np.append(first[1:], b - a))
-        return self
-
-    def search(self, terms, weights, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    the largest weight of each (block, term)."""
+
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = BLOCK):
+        self.n, self.n_terms, self.block = len(vectors), n_terms, block
+        blocks = -(-self.n // block)
+        self.top = np.zeros((blocks, n_terms))
+        self.postings = []                   # per block: example within it, term, weight
+        for b in range(blocks):
+            part = vectors[b * block:(b + 1) * block]
+            term, weight = (np.concatenate([v[i] for v in part]) for i in (0, 1))
+            example = np.repeat(np.arange(len(part)), [len(t) for t, _ in part])
+            np.maximum.at(self.top[b], term.astype(np.int64), weight)
+            self.postings.append((example, term.astype(np.int64), weight))
+
+    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest, exactly; ties to the smaller
         number. Examples that share no term are not returned. Blocks are scored
         in the order of their upper bounds until the bound falls below the k-th."""
-        known = [(t, w) for t, w in zip(terms, weights) if t in self.postings]
-        if not known:
-            return np.empty(0, dtype=np.int64), np.empty(0)
-        bound = np.zeros(-(-self.n // self.block))
-        for t, w in known:
-            b, top, _, _ = self.tops[t]
-            bound[b] += w * top
-        ids, sims = np.empty(0, dtype=np.int64), np.empty(0)
-        kth = 0.0
+        ids, sims, kth = np.empty(0, dtype=np.int64), np.empty(0), 1e-12
+        bound = self.top[:, terms] @ weights
+        query = np.zeros(self.n_terms)
+        query[terms] = weights
         for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or bound[b] * (1 + 1e-9) < kth:
+            if bound[b] * (1 + 1e-9) < kth:
                 break
-            acc = np.zeros(self.block)
-            for t, w in known:
-                blocks, _, first, last = self.tops[t]
-                i = np.searchsorted(blocks, b)
-                if i < len(blocks) and blocks[i] == b:
-                    ex, wt = self.postings[t]
-                    acc[ex[first[i]:last[i]] - b * self.block] += w * wt[first[i]:last[i]]
-            near = np.flatnonzero(acc > 0)
+            example, term, weight = self.postings[b]
+            acc = np.round(np.bincount(example, weights=query[term] * weight, minlength=1), 12)
+            near = np.flatnonzero(acc >= kth)
             near = near[near + b * self.block != skip]
+            if not len(near):
+                continue
             ids = np.concatenate([ids, near + b * self.block])
-            sims = np.concatenate([sims, np.round(acc[near], 12)])
-            if len(ids) > k:
+            sims = np.concatenate([sims, acc[near]])
+            if len(ids) >= k:
                 keep = np.lexsort((ids, -sims))[:k]
                 ids, sims = ids[keep], sims[keep]
-            if len(ids) == k:
-                kth = sims.min()
+                kth = sims[-1]
         order = np.lexsort((ids, -sims))
         return ids[order], sims[order]
 
@@ -153,7 +133,7 @@ class ToxicityModel:
         """Log odds of the distance-weighted votes, the prior voting at distance one."""
         if counts:
             t, w = self.vector(counts)
-            ids, sims = self.index.search(t.tolist(), w.tolist(), self.k, skip)
+            ids, sims = self.index.search(t, w, self.k, skip)
         else:
             ids, sims = np.empty(0, dtype=np.int64), np.empty(0)
         by = 1.0 / (1.05 - np.minimum(sims, 1.0))
@@ -254,9 +234,9 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc
     examples = sorted(texts.mapInArrow(counted, "doc_id long, y int, t array<long>, n array<long>").collect())
     prior = n1 / max(1, n1 + n0)
     counts = [Counter(dict(zip(r["t"], r["n"]))) for r in examples]
-    model = ToxicityModel(vocabulary, idf, BlockMaxIndex(0), np.array([r["doc_id"] for r in examples], dtype=np.int64),
+    model = ToxicityModel(vocabulary, idf, BlockMaxIndex([], len(vocabulary)), np.array([r["doc_id"] for r in examples], dtype=np.int64),
                           np.array([int(r["y"] == 1) for r in examples], dtype=np.int64), min(max(prior, 1e-3), 1 - 1e-3), k)
-    model.index = BlockMaxIndex.build([model.vector(c) for c in counts])
+    model.index = BlockMaxIndex([model.vector(c) for c in counts], len(vocabulary))
     if n1 and n0:
         def leave_one_out(frames):
             for b in frames:
