@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, packing, quality, simhash, suffix_dedup, token_output, topk, toxicity
+from . import chaining, decontam, line_dedup, packing, quality, simhash, suffix_dedup, token_output, topk, toxicity
 from .common import read
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -151,3 +151,8 @@ def op10(spark, sf_dir):
 @query("op1_suffix_dedup")
 def op1(spark, sf_dir):
     return suffix_dedup.suffix_dedup(documents(spark, sf_dir), length=100)
+
+
+@query("op4_chaining")
+def op4(spark, sf_dir):
+    return chaining.repeated_passages(documents(spark, sf_dir), min_words=50, similarity=0.8)
