@@ -88,9 +88,11 @@ def nan_to_num(c) -> Column:
 
 
 def unique_id(tx_hash, unixtime) -> Column:
-    """Dedup key ``<hash>_<unixtime>``; null when either part is null."""
-    return F.when(col_(tx_hash).isNotNull() & col_(unixtime).isNotNull(),
-                  F.concat_ws("_", col_(tx_hash), col_(unixtime).cast("string")))
+    """Dedup key ``<hash>_<unixtime>``. A null hash reads "None", so such
+    trades keep their time in the id and merge only within one second; null
+    when the time is null."""
+    return F.when(col_(unixtime).isNotNull(),
+                  F.concat_ws("_", F.coalesce(col_(tx_hash), F.lit("None")), col_(unixtime).cast("string")))
 
 
 def short_address(c, head: int = 10, tail: int = 8) -> Column:

@@ -18,6 +18,9 @@ SMALL_CLUSTER = 10          # clusters below this size are anomalous
 MAX_OUTLIERS = 500          # farthest addresses from their centroid
 KMEANS_SEED = 1
 HIGH_RATIO, LOW_RATIO, MIN_TX = 10.0, 0.1, 5
+# rows a task of the clustering passes handles
+ROWS_PER_PART = 50_000
+
 
 def address_metrics(vertices: DataFrame, edges: DataFrame, transfers: DataFrame, ranks: DataFrame,
                     sender: str = "sell_address", receiver: str = "buy_address",
@@ -143,16 +146,32 @@ def kmeans_clusters(metrics: DataFrame, cols=tuple(METRIC_FEATURES), max_k: int
     z = zscore(metrics, cols, stats=st)
     feats = F.array(*[F.col("s_" + c) for c in cols])
     data = z.withColumn("scaled", feats).withColumn("features", array_to_vector("scaled"))
-    model = KMeans(k=k, seed=seed, featuresCol="features").fit(data.sort("id"))
+    # the same rows in the same partitions each time, without a global sort
+    placed = data.repartition(max(1, -(-n // ROWS_PER_PART)), "id").sortWithinPartitions("id")
+    model = KMeans(k=k, seed=seed, featuresCol="features").fit(placed)
     centers = [[float(x) for x in c] for c in model.clusterCenters()]
-    clustered = model.transform(data)
-    centre = F.element_at(F.array(*[F.array(*[F.lit(x) for x in c]) for c in centers]),
-                          F.col("prediction") + 1)
-    sq = F.aggregate(F.zip_with("scaled", centre, lambda a, b: (a - b) * (a - b)), F.lit(0.0),
-                     lambda acc, x: acc + x)
-    clustered = clustered.withColumn("distance_to_centroid", F.sqrt(sq)) \
-        .withColumn("prediction", F.col("prediction").cast("long"))
-    return clustered, centers
+    clustered = model.transform(data).withColumn("prediction", F.col("prediction").cast("long"))
+    return clustered.withColumn("distance_to_centroid", _centre_distance(centers, F.col("prediction"))), centers
+
+
+def _centre_distance(centers, prediction):
+    """Euclidean distance of ``scaled`` to its centre; the k <= MAX_K centres
+    are a literal."""
+    centre = F.element_at(F.array(*[F.array(*[F.lit(x) for x in c]) for c in centers]), prediction + 1)
+    return F.sqrt(F.aggregate(F.zip_with("scaled", centre, lambda a, b: (a - b) * (a - b)), F.lit(0.0),
+                              lambda acc, x: acc + x))
+
+
+def assign_centres(metrics: DataFrame, centers, cols=tuple(METRIC_FEATURES)) -> DataFrame:
+    """``prediction`` (nearest of the given standardised ``centers``, ties to the
+    first) and ``distance_to_centroid`` of every address: the assignment step
+    with the centres as a parameter."""
+    data = zscore(metrics, cols).withColumn("scaled", F.array(*[F.col("s_" + c) for c in cols]))
+    far = [F.struct(_centre_distance(centers, F.lit(i)).alias("d"), F.lit(i).cast("long").alias("i"))
+           for i in range(len(centers))]
+    near = F.least(*far) if len(far) > 1 else far[0]
+    return data.withColumn("_near", near).withColumn("prediction", F.col("_near.i")) \
+        .withColumn("distance_to_centroid", F.col("_near.d")).drop("_near")
 
 
 def small_clusters(clustered: DataFrame, small: int = SMALL_CLUSTER) -> DataFrame:
@@ -168,13 +187,11 @@ def cluster_outliers(clustered: DataFrame, max_outliers: int = MAX_OUTLIERS) ->
 def cluster_anomalies(clustered: DataFrame, small: int = SMALL_CLUSTER,
                       max_outliers: int = MAX_OUTLIERS) -> DataFrame:
     """Members of clusters smaller than ``small`` plus the farthest
-    ``max_outliers``, each address once. Both sides are bounded (at most
-    k clusters; at most ``max_outliers`` rows), so both lookups broadcast
-    bounded tables and the result is one filter pass: no union, no
-    distinct over vectors."""
+    ``max_outliers``, each address once. At most k <= 20 small clusters are
+    broadcast; the outlier lookup is left to the planner. One filter pass: no
+    union, no distinct over vectors."""
     small_ids = F.broadcast(small_clusters(clustered, small).select("prediction", F.lit(True).alias("_small")))
-    far = F.broadcast(cluster_outliers(clustered, max_outliers)
-                      .select(F.col("id").alias("_fid"), F.lit(True).alias("_far")))
+    far = cluster_outliers(clustered, max_outliers).select(F.col("id").alias("_fid"), F.lit(True).alias("_far"))
     j = (clustered.join(small_ids, "prediction", "left")
          .join(far, F.col("id") == F.col("_fid"), "left"))
     return (j.where(F.coalesce(F.col("_small"), F.lit(False)) | F.coalesce(F.col("_far"), F.lit(False)))
@@ -184,8 +201,10 @@ def cluster_anomalies(clustered: DataFrame, small: int = SMALL_CLUSTER,
 def graph_metrics(trades: DataFrame, multi_edges: bool = False):
     """Vertices, edges, ranks and metrics of a trade set (computed once and
     shared by every consumer)."""
-    v = G.build_vertices(trades)
-    e = G.raw_edges(trades) if multi_edges else G.build_edges(trades)
+    checkpoint_dir(trades.sparkSession)
+    # read by the ranks, the degrees and the metrics: written once, reliably
+    v = G.build_vertices(trades).checkpoint()
+    e = (G.trade_edges(trades) if multi_edges else G.build_edges(trades)).checkpoint()
     ranks = G.pagerank(v, e)
     m = address_metrics(v, e, trades, ranks)
     return v, e, ranks, m

@@ -27,9 +27,9 @@ def top_vertices(vertices: DataFrame, n: int = TOP_N) -> DataFrame:
 
 
 def induced_edges(edges: DataFrame, top: DataFrame) -> DataFrame:
-    """Edges with both ends among ``top`` (at most ``n`` ids, so the two
-    semi joins broadcast a bounded table)."""
-    ids = F.broadcast(top.select(F.col("id").alias("_id")))
+    """Edges with both ends among ``top``. The caller chooses its size, so the
+    two semi joins are left to the planner, which broadcasts by measured size."""
+    ids = top.select(F.col("id").alias("_id"))
     e = edges.join(ids, edges.src == ids._id, "left_semi").join(ids, edges.dst == ids._id, "left_semi")
     return e.select("src", "dst", "weight", "total_buy_value", "total_sell_value", "transaction_count",
                     "avg_gas_price")

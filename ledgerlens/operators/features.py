@@ -16,11 +16,14 @@ def extract_features(df: DataFrame, keep_rejects: bool = False) -> DataFrame:
     """Flat base trade columns -> feature columns of the trades table.
 
     A trade missing its time, an amount or a gas field (absent, null or
-    non-numeric text) is rejected: dropped, or with ``keep_rejects`` kept
-    with ``rejected = true`` for a side table. Stateless: one projection."""
+    non-numeric text), or its whole transaction, is rejected: dropped, or with
+    ``keep_rejects`` kept with ``rejected = true`` for a side table. A
+    transaction without a hash is kept. Stateless: one projection."""
     ok = F.lit(True)
     for c in REQUIRED:
         ok = ok & F.col(c).isNotNull()
+    if "no_transaction" in df.columns:
+        ok = ok & ~F.col("no_transaction")
     if "block_time_text" in df.columns:
         ts = F.coalesce(F.try_to_timestamp(F.col("block_time_text"), F.lit("yyyy-MM-dd HH:mm:ss")),
                         F.timestamp_seconds("block_unixtime"))
@@ -33,9 +36,8 @@ def extract_features(df: DataFrame, keep_rejects: bool = False) -> DataFrame:
            .withColumn("time_of_day_cos", X.time_of_day_cos("block_unixtime"))
            .withColumn("unique_id", X.unique_id("tx_hash", "block_unixtime"))
            .withColumn("analyzed", F.lit(False)))
-    if keep_rejects:
-        return out.withColumn("rejected", ~ok)
-    return out.where(ok)
+    out = out.withColumn("rejected", ~ok) if keep_rejects else out.where(ok)
+    return out.drop("no_transaction")
 
 
 def with_window(df: DataFrame, window="60 seconds", time_col: str = "block_unixtime") -> DataFrame:
@@ -123,6 +125,5 @@ def anomaly_reason(df: DataFrame, is_anomaly, cols=tuple(X.STREAM_FEATURES), z_p
     reason = (raw.when(pf == "trade_ratio", F.lit(X.REASON_RATIO))
               .when(pf.isin("gas_value", "gas_price"), F.lit(X.REASON_GAS))
               .when(pf == "gas_cost_relative", F.lit(X.REASON_GAS_RELATIVE))
-              .when(pf.isin("time_of_day_sin", "time_of_day_cos"), F.lit(X.REASON_TIME))
-              .otherwise(F.lit("Multiple anomalous factors")))
+              .otherwise(F.lit(X.REASON_TIME)))
     return df.withColumn("reason", F.when(is_anomaly, reason).otherwise(F.lit(X.REASON_NO_ANOMALY)))

@@ -68,7 +68,7 @@ def history_scan(history: DataFrame, lo, hi, time_col: str = "block.timestamp.un
 def rapid_transactions(batch: DataFrame, history: DataFrame | None = None,
                        trader_col: str = "trader_address", time_col: str = "block.timestamp.unixtime",
                        hash_col: str = "transaction.hash", seconds: int = X.RAPID_SECONDS,
-                       max_count: int = X.RAPID_MAX_COUNT, bucket_seconds: int = 86400) -> DataFrame:
+                       max_count: int = X.RAPID_MAX_COUNT, bucket_seconds: int = 3600) -> DataFrame:
     """Adds ``transactions_in_window`` and ``is_rapid_transaction`` to every
     batch row, row-preserving.
 
@@ -81,7 +81,9 @@ def rapid_transactions(batch: DataFrame, history: DataFrame | None = None,
     (trader, time bucket of ``bucket_seconds``); each row within ``seconds``
     of its bucket's end is copied into the next bucket as a non-output halo
     row, so every frame is complete inside one (trader, bucket) partition.
-    The copy is ``seconds / bucket_seconds`` of the rows (0.2 % by default).
+    The copy is ``seconds / bucket_seconds`` of the rows (5 % with hourly
+    buckets). Null traders count together like any trader, hour by hour; rows
+    without a time form one group per trader.
     """
     if seconds >= bucket_seconds:
         raise ValueError("bucket_seconds must exceed the frame length")

@@ -305,3 +305,48 @@ def q_cluster_outliers(spark, sf):
 @register("cluster_anomalies")
 def q_cluster_anomalies(spark, sf):
     return A.cluster_anomalies(_clustered(spark, sf)).select(*_CLUSTER_OUT)
+
+
+# ------------------------------------------------------------------ the same steps on given centres
+# Five fixed centres in units of standard deviations, so that the assignment is
+# the same in any engine; the clusters from K-means go through the same code.
+_CENTRES = [[0.0] * 7, [1.5, -0.5, 1.0, 0.0, 1.0, 0.0, 1.5], [-0.5, 1.5, -0.5, 1.5, 0.0, 1.5, -0.5],
+            [-1.5, 0.0, -1.0, 0.0, -1.0, 0.0, -1.5], [6.0, 0.0, 6.0, 0.0, 6.0, 0.0, 6.0]]
+_GIVEN_SQL = _M_SQL + f""",
+zs AS (SELECT id, {', '.join(
+    f"(CASE WHEN coalesce(stddev_samp({c}) OVER (), 0) = 0 THEN 0.0 ELSE "
+    f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () END) AS s_{c}" for c in _Z_COLS)} FROM m),
+dd AS ({' UNION ALL '.join(
+    f"SELECT id, {i}::BIGINT AS prediction, sqrt({' + '.join(f'(s_{c} - {x}) * (s_{c} - {x})' for c, x in zip(_Z_COLS, centre))}) AS d FROM zs"
+    for i, centre in enumerate(_CENTRES))}),
+cl AS (SELECT id, prediction, d FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, prediction) AS rn FROM dd)
+  WHERE rn = 1),
+sc AS (SELECT prediction, count(*) AS count FROM cl GROUP BY prediction HAVING count(*) < 10),
+far AS (SELECT * FROM cl ORDER BY round(d, 6) DESC, id LIMIT 100)"""
+
+
+def _given(spark, sf):
+    g = A.assign_centres(_metrics(spark, sf), _CENTRES)
+    return g.withColumn("distance_to_centroid", F.round("distance_to_centroid", 6))
+
+
+@register("given_centre_distance", _GIVEN_SQL + "\nSELECT id, prediction, round(d, 6) AS distance_to_centroid FROM cl")
+def q_given_centre_distance(spark, sf):
+    return _given(spark, sf).select("id", "prediction", "distance_to_centroid")
+
+
+@register("given_small_clusters", _GIVEN_SQL + "\nSELECT prediction, count FROM sc")
+def q_given_small_clusters(spark, sf):
+    return A.small_clusters(_given(spark, sf))
+
+
+@register("given_cluster_outliers", _GIVEN_SQL + "\nSELECT id, prediction, round(d, 6) AS distance_to_centroid FROM far")
+def q_given_cluster_outliers(spark, sf):
+    return A.cluster_outliers(_given(spark, sf), 100).select("id", "prediction", "distance_to_centroid")
+
+
+@register("given_cluster_anomalies", _GIVEN_SQL + """
+SELECT id, prediction, round(d, 6) AS distance_to_centroid FROM cl
+WHERE prediction IN (SELECT prediction FROM sc) OR id IN (SELECT id FROM far)""")
+def q_given_cluster_anomalies(spark, sf):
+    return A.cluster_anomalies(_given(spark, sf), max_outliers=100).select("id", "prediction", "distance_to_centroid")

@@ -131,3 +131,36 @@ def q_score_windows(spark, sf):
     reason, in the trades-table layout (rows only)."""
     d = FT.window_dedup(FT.extract_features(trades(spark, sf)), WINDOW)
     return stream_scorer.to_trades_table(stream_scorer.score_windows(d))
+
+
+@register("window_anomaly_counts", f"""
+WITH f AS ({QF._FEATURES_SQL}),
+d AS (SELECT DISTINCT window_start, unique_id FROM f),
+w AS (SELECT window_start, count(*) AS window_rows FROM d GROUP BY window_start)
+SELECT window_start, window_rows, true AS scores_in_range, true AS cut_holds FROM w""")
+def q_window_anomaly_counts(spark, sf):
+    """Rows and anomalies per window after the forest: every score lies in
+    (0, 1] and no more rows are anomalous than the contamination allows."""
+    d = FT.window_dedup(FT.extract_features(trades(spark, sf)), WINDOW)
+    s = IF.isolation_forest(FT.window_zscore(d), ["z_" + c for c in FT.X.STREAM_FEATURES], uid="unique_id").checkpoint()
+    ranges = s.groupBy("window_start").agg(F.bool_and((F.col("iso_score") > 0) & (F.col("iso_score") <= 1))
+                                           .alias("scores_in_range"))
+    allowed = F.floor(F.lit(IF.CONTAMINATION) * (F.col("window_rows") - 1)) + 1
+    return IF.anomaly_counts(s).join(ranges, "window_start") \
+        .select("window_start", "window_rows", "scores_in_range", (F.col("anomalies") <= allowed).alias("cut_holds"))
+
+
+@register("score_windows_outcome", f"""
+WITH f AS ({QF._FEATURES_SQL}),
+d AS (SELECT DISTINCT window_start, unique_id FROM f),
+w AS (SELECT *, count(*) OVER (PARTITION BY window_start) AS window_rows FROM d)
+SELECT unique_id, window_start, window_rows < 10 AS insufficient, true AS reason_fits FROM w""")
+def q_score_windows_outcome(spark, sf):
+    """Gate and reason of every scored trade: gated ones score 0 with the fixed
+    reason, the others have a reason that fits the sign of their score."""
+    d = FT.window_dedup(FT.extract_features(trades(spark, sf)), WINDOW)
+    s = stream_scorer.score_windows(d)
+    gated = F.col("reason") == FT.X.REASON_INSUFFICIENT
+    normal = F.col("reason") == FT.X.REASON_NO_ANOMALY
+    fits = F.when(gated, F.col("anomaly_score") == 0).otherwise(normal == (F.col("anomaly_score") >= 0))
+    return s.select("unique_id", "window_start", gated.alias("insufficient"), fits.alias("reason_fits"))

@@ -3,7 +3,9 @@ checkpoint folder a cluster names in ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -17,6 +19,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -41,30 +44,63 @@ def ensure_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+_SCRATCH: dict[str, SparkSession] = {}
+
+
+def _drop_scratch() -> None:
+    """Remove the scratch folders of this process (stream landings, sinks and
+    local checkpoint folders) while its JVM still runs."""
+    for path, spark in list(_SCRATCH.items()):
+        try:
+            delete_path(spark, path)
+        except Exception:  # noqa: BLE001 - the session is gone; nothing can be removed any more
+            return
+        _SCRATCH.pop(path, None)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
-    Read from the running context or from ``spark.checkpoint.dir``; only when
-    neither is set (local tests) a private folder is created and registered.
-    """
+    Read from the running context or from ``spark.checkpoint.dir``. Only a
+    session in local mode (one machine, so any folder is shared) may do
+    without: it gets a private folder that is removed at exit. On a cluster
+    a missing setting is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        try:
-            conf_dir = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key raises on some versions
-            conf_dir = None
+    conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all "
+                               "executors share")
         conf_dir = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
+        _SCRATCH["file://" + conf_dir] = spark
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (stream sinks,
-    stream checkpoints, lineage-cutting snapshots)."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, "ledgerlens", f"{name}-{uuid.uuid4().hex}")
+    landings), removed when this process ends."""
+    path = os.path.join(checkpoint_dir(spark), "ledgerlens", f"{name}-{uuid.uuid4().hex}")
+    _SCRATCH[path] = spark
+    return path
+
+
+atexit.register(_drop_scratch)

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from ..operators import features as FT
 from ..plans import stream_scorer
-from ..session import ensure_conf, scratch_path
+from .. import schemas
+from ..session import ensure_conf, path_exists, scratch_path
 from ..sources import messages as M
 
 EVENTS_SCHEMA = T.StructType([
@@ -78,7 +79,7 @@ def stream_dedup(features: DataFrame, window: str = "60 seconds", delay: str = "
 
 
 def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
-                      sink_path: str | None = None, timeout_s: int = 600) -> DataFrame:
+                      sink_path: str | None = None, timeout_s: float | None = None) -> DataFrame:
     """Run a streaming frame to completion over the data available now into a
     Parquet sink under the shared checkpoint folder; return the sink read
     as a batch frame. The checkpoint makes a re-run resume, not redo."""
@@ -87,20 +88,31 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
     q = (df.writeStream.format("parquet").outputMode(output_mode)
          .option("checkpointLocation", out + "/_checkpoint").option("path", out + "/data")
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    _finish(q, name, timeout_s)
+    return _read_sink(spark, out + "/data", df.schema)
+
+
+def _finish(q, name: str, timeout_s: float | None) -> None:
+    """Wait for the query to end (without a limit unless one is given) and
+    raise what ended it."""
+    q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
         raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
     if q.exception():
         raise q.exception()
-    try:
-        return spark.read.schema(df.schema).parquet(out + "/data")
-    except Exception:  # noqa: BLE001 - nothing was emitted
-        return spark.createDataFrame([], df.schema)
+
+
+def _read_sink(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The sink as a batch frame; a sink never written is empty, any other
+    failure to read it is raised."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def score_stream(raw: DataFrame, window: str = "60 seconds", delay: str = "0 seconds",
-                 sink_path: str | None = None, timeout_s: int = 900, **score_args) -> DataFrame:
+                 sink_path: str | None = None, timeout_s: float | None = None, **score_args) -> DataFrame:
     """The streaming scorer: messages -> features -> watermarked dedup per
     window -> ``foreachBatch`` scoring of the closed windows -> trades table
     (Parquet, one folder per epoch, so a replayed epoch overwrites itself)."""
@@ -109,19 +121,15 @@ def score_stream(raw: DataFrame, window: str = "60 seconds", delay: str = "0 sec
     dedup = stream_dedup(stream_features(raw), window, delay)
 
     def score_batch(batch: DataFrame, epoch: int) -> None:
-        scored = stream_scorer.to_trades_table(stream_scorer.score_windows(batch, **score_args))
-        scored.write.mode("overwrite").parquet(f"{out}/data/epoch={epoch}")
+        # the scorer reads the batch several times: keep it, or the stateful dedup runs again per read
+        batch = batch.persist()
+        try:
+            scored = stream_scorer.to_trades_table(stream_scorer.score_windows(batch, **score_args))
+            scored.write.mode("overwrite").parquet(f"{out}/data/epoch={epoch}")
+        finally:
+            batch.unpersist()
 
     q = (dedup.writeStream.outputMode("append").foreachBatch(score_batch)
          .option("checkpointLocation", out + "/_checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream scorer did not finish")
-    if q.exception():
-        raise q.exception()
-    from .. import schemas
-    try:
-        return spark.read.schema(schemas.FLAT_TRADE).parquet(out + "/data")
-    except Exception:  # noqa: BLE001 - no epoch emitted rows
-        return spark.createDataFrame([], schemas.FLAT_TRADE)
+    _finish(q, "stream_scored", timeout_s)
+    return _read_sink(spark, out + "/data", schemas.FLAT_TRADE)

@@ -63,3 +63,24 @@ def test_window_dedup_keeps_smallest(spark):
     f = FT.extract_features(spark.createDataFrame(rows, BASE))
     d = FT.window_dedup(f, "1 day").collect()
     assert sorted((r.window_start, r.buy_amount) for r in d) == [(0, 3.0), (86400, 4.0)]
+
+
+def test_gate_passes_its_minimum(spark):
+    from ledgerlens.plans import stream_scorer
+    rows = [(f"u{i}", 0, i, *[float(i * k % 7) for k in range(1, 9)]) for i in range(10)]
+    df = spark.createDataFrame(rows, "unique_id string, window_start long, block_unixtime long, " +
+                               ", ".join(f"{c} double" for c in X.STREAM_FEATURES))
+    for least, gated in ((9, 0), (10, 0), (11, 10)):
+        out = stream_scorer.score_windows(df, min_rows=least, trees=5).collect()
+        assert sum(r["reason"] == X.REASON_INSUFFICIENT for r in out) == gated
+
+
+def test_null_hashes_keep_their_time(spark):
+    rows = [(None, 100), (None, 101), (None, 101), ("h", 100), ("h", 100)]
+    df = spark.createDataFrame([(h, t, 1.0, 2.0, 3.0, 4.0) for h, t in rows],
+                               "tx_hash string, block_unixtime long, buy_amount double, sell_amount double, "
+                               "gas_value double, gas_price double")
+    f = FT.extract_features(df)
+    assert f.count() == 5 and f.where("unique_id is null").count() == 0
+    d = FT.window_dedup(f)
+    assert sorted(r["unique_id"] for r in d.collect()) == ["None_100", "None_101", "h_100"]

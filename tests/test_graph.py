@@ -75,7 +75,7 @@ def test_degrees_and_ratio_thresholds(spark):
     t = _trades(spark, pairs)
     e = G.build_edges(t)
     assert {r.id: r.outDegree for r in G.out_degrees(e).collect()} == {"a": 2}
-    assert {r.id: r.outDegree for r in G.out_degrees(G.raw_edges(t)).collect()} == {"a": 4}
+    assert {r.id: r.outDegree for r in G.out_degrees(G.trade_edges(t)).collect()} == {"a": 4}
     m = spark.createDataFrame([("x", 10.0, 1.0, 6, 6), ("y", 11.0, 1.0, 6, 6), ("z", 1.0, 10.0, 6, 6),
                                ("w", 1.0, 11.0, 6, 6), ("q", 5.0, 0.0, 6, 6)],
                               "id string, sent_volume double, received_volume double, transactions_sent long, "

@@ -42,3 +42,30 @@ def test_stream_windows_over_events_close_by_watermark(spark):
             .withColumn("ws", F.col("ws") - F.pmod("ws", F.lit(86400)))
             .where(F.col("ws") + 86400 <= mx).groupBy("ws").count())
     assert sorted((r.window_start, r.n) for r in out.collect()) == sorted(tuple(r) for r in want.collect())
+
+
+def test_a_sink_that_cannot_be_read_raises(spark, tmp_path):
+    import pytest
+    schema = SJ.EVENTS_SCHEMA
+    assert SJ._read_sink(spark, str(tmp_path / "never"), schema).count() == 0
+    (tmp_path / "data").mkdir()
+    (tmp_path / "data" / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        SJ._read_sink(spark, str(tmp_path / "data"), schema).count()
+
+
+def test_stream_dedup_keeps_null_hash_trades_of_different_seconds(spark, tmp_path):
+    import json
+    def trade(hash_, t):
+        return {"protocol": "p", "block": {"timestamp": {"time": None, "unixtime": t}, "height": 1},
+                "transaction": {"hash": hash_}, "buyCurrency": {"symbol": "a", "address": "x"}, "buyAmount": 1.0,
+                "sellCurrency": {"symbol": "b", "address": "y"}, "sellAmount": 2.0, "trades": 1, "gasValue": 0.1, "gasPrice": 1.0}
+    rows = [trade(None, 1000), trade(None, 1001), trade(None, 1001), trade("h", 1000), trade("h", 1000)]
+    gone = trade("z", 1002) | {"transaction": None}
+    late = trade("late", 9000)
+    (tmp_path / "m").mkdir()
+    for i, part in enumerate((rows + [gone], [late])):
+        (tmp_path / "m" / f"{i}.json").write_text(json.dumps({"data": {"ethereum": {"dexTrades": part}}}) + "\n")
+    stream = SJ.message_stream(spark, str(tmp_path / "m"), max_files_per_trigger=1)
+    out = SJ.run_available_now(SJ.stream_dedup(SJ.stream_features(stream)), "nulls").collect()
+    assert sorted(r["unique_id"] for r in out if r["tx_hash"] != "late") == ["None_1000", "None_1001", "h_1000"]
