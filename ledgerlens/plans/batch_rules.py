@@ -44,7 +44,8 @@ def batch_score(raw_messages: DataFrame, history: DataFrame | None = None, value
 
 def append_scored(scored: DataFrame, path: str) -> None:
     """Append to the scored table, partitioned by block date so the history
-    scan of the next batch prunes whole days."""
+    scan of the next batch prunes whole days. Rebalancing by date gives a day few
+    files, and splits a very busy day over several."""
     from pyspark.sql import functions as F
     (scored.withColumn("block_date", F.to_date(F.timestamp_seconds(F.col(TIME))))
-     .write.mode("append").partitionBy("block_date").parquet(path))
+     .hint("rebalance", "block_date").write.mode("append").partitionBy("block_date").parquet(path))

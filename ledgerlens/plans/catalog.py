@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_extract, q_features, q_graph, q_rules, q_stream  # noqa: F401
+from . import q_extract, q_features, q_graph, q_rules, q_sinks, q_stream  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 

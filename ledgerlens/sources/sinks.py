@@ -5,10 +5,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
+from ..session import path_exists
 
 # table -> stamp column added at write time
 STAMP_COLUMN = {
@@ -40,6 +42,39 @@ def prepare(name: str, df: DataFrame, as_of) -> DataFrame:
     return schemas.conform(df, schema)
 
 
+# What the stored graph columns mean; kept with the table.
+COLUMN_COMMENTS = {
+    "graph_vertices": {
+        "id": "address", "total_buy_volume": "sum of bought amounts", "buy_transactions": "trades as buyer",
+        "total_sell_volume": "sum of sold amounts", "sell_transactions": "trades as seller",
+        "symbol": "smallest bought token, else smallest sold token", "total_transactions": "trades on either side",
+        "total_volume": "bought plus sold amounts", "analysis_timestamp": "run that wrote the row"},
+    "graph_edges": {
+        "src": "selling address", "dst": "buying address", "total_buy_value": "sum of bought amounts",
+        "total_sell_value": "sum of sold amounts", "transaction_count": "trades of the pair",
+        "avg_gas_price": "mean gas price", "latest_timestamp": "time of the last trade",
+        "weight": "trade count as a number", "analysis_timestamp": "run that wrote the row"},
+}
+
+
+def described_schema(name: str) -> T.StructType:
+    """The stored schema of a result table with its column comments."""
+    notes = COLUMN_COMMENTS.get(name, {})
+    return T.StructType([T.StructField(f.name, f.dataType, True, {"comment": notes[f.name]} if f.name in notes else {})
+                         for f in schemas.RESULT_TABLES[name].fields])
+
+
+def ensure_table(spark: SparkSession, name: str, base_path: str) -> bool:
+    """Create ``<base_path>/<name>`` as an empty Parquet table with described
+    columns unless it is there; returns whether it was created. The comments are
+    stored in the file's schema, so a later read shows them."""
+    path = f"{base_path.rstrip('/')}/{name}"
+    if path_exists(spark, path):
+        return False
+    spark.createDataFrame([], described_schema(name)).coalesce(1).write.mode("ignore").parquet(path)
+    return True
+
+
 def save_results(results: dict, base_path: str, as_of, mode: str = "append",
                  skip_empty: bool = True) -> list[str]:
     """Append every result frame to ``<base_path>/<table>`` (Parquet),

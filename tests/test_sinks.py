@@ -67,3 +67,25 @@ def test_graph_job_end_to_end(spark):
     loaded = t.where(~F.col("analyzed") & (F.col("detection_time") < F.lit("2001-07-30 22:30:00").cast("timestamp")))
     hashes = loaded.select("tx_hash").distinct()
     assert snap.join(hashes, "tx_hash", "left_semi").where(~F.col("analyzed")).count() == 0
+
+
+def test_ensure_table_creates_once_with_comments(spark, tmp_path):
+    assert SK.ensure_table(spark, "graph_vertices", str(tmp_path))
+    assert not SK.ensure_table(spark, "graph_vertices", str(tmp_path))
+    stored = spark.read.parquet(str(tmp_path / "graph_vertices"))
+    assert stored.count() == 0 and stored.columns == [f.name for f in SK.described_schema("graph_vertices").fields]
+    assert all(f.metadata.get("comment") for f in stored.schema.fields)
+    v = G.build_vertices(trades(spark, SF001))
+    SK.save_results({"graph_vertices": v}, str(tmp_path), "2024-01-01 00:00:00")
+    assert spark.read.parquet(str(tmp_path / "graph_vertices")).count() == v.count()
+
+
+def test_history_scan_prunes_folders_of_the_scored_table(spark, tmp_path):
+    from ledgerlens.operators import rules as R
+    path = str(tmp_path / "scored")
+    t = trades(spark, SF001)
+    batch_rules.append_scored(batch_rules.batch_score(M.encode_messages(t)), path)
+    hi = t.agg(F.max("block_unixtime")).first()[0]
+    kept = R.history_scan(spark.read.parquet(path), hi - 86400, hi)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(block_date" in plan and "block.timestamp.unixtime" in plan
