@@ -8,6 +8,7 @@ ratio; document frequencies are counted over all documents."""
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from dataclasses import dataclass
 
@@ -40,15 +41,29 @@ class _Lookup(dict):
     def __init__(self, vocabulary: dict[str, int]):
         super().__init__()
         self.vocabulary = vocabulary
+        # most words share no beginning with any term: one look tells
+        self.heads = {t.lstrip("^")[:4] if len(t) > 1 else t for t in vocabulary}
 
     def __missing__(self, chunk: str):
         if len(self) > _CACHE:
             self.clear()
+        word = chunk.strip(_EDGE).lower() or chunk[:1]
         v = self.vocabulary
-        out = self[chunk] = tuple(v[t] for t in word_terms(chunk) if t in v)
+        out = self[chunk] = tuple(v[t] for t in word_terms(chunk) if t in v) if word[:4] in self.heads else ()
         return out
 
 
+_LOOKUPS: dict[str, _Lookup] = {}
+
+
+def _lookup(key: str, vocabulary: dict[str, int]) -> _Lookup:
+    """One lookup per worker process and fit: tasks share what is learnt."""
+    if key not in _LOOKUPS:
+        _LOOKUPS.clear()
+        _LOOKUPS[key] = _Lookup(vocabulary)
+    return _LOOKUPS[key]
+
+
 def term_counts(text: str, lookup: _Lookup) -> Counter:
     return Counter([t for ts in map(lookup.__getitem__, text.split()) if ts for t in ts])
 
@@ -64,46 +79,66 @@ def labelled_sample(labels: DataFrame, label_col: str, held_out: Column, bound:
 
 
 class BlockMaxIndex:
-    """Unit-length example vectors as postings, cut into blocks of examples with
-    the largest weight of each (block, term)."""
+    """Unit-length example vectors as an inverted index: per term its examples
+    and weights, and per (block of examples, term) the largest weight."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = BLOCK):
         self.n, self.n_terms, self.block = len(vectors), n_terms, block
-        blocks = -(-self.n // block)
-        self.top = np.zeros((blocks, n_terms))
-        self.postings = []                   # per block: example within it, term, weight
-        for b in range(blocks):
-            part = vectors[b * block:(b + 1) * block]
-            term, weight = (np.concatenate([v[i] for v in part]) for i in (0, 1))
-            example = np.repeat(np.arange(len(part)), [len(t) for t, _ in part])
-            np.maximum.at(self.top[b], term.astype(np.int64), weight)
-            self.postings.append((example, term.astype(np.int64), weight))
+        sizes = [len(t) for t, _ in vectors]
+        example = np.repeat(np.arange(self.n), sizes)
+        term, weight = (np.concatenate([v[i] for v in vectors]) if sum(sizes) else np.empty(0) for i in (0, 1))
+        term = term.astype(np.int64)
+        order = np.lexsort((example, term))
+        self.example, self.weight = example[order], weight[order]
+        self.first = np.searchsorted(term[order], np.arange(n_terms + 1))
+        self.top = np.zeros((n_terms, -(-self.n // block)))
+        np.maximum.at(self.top, (term, example // block), weight)
+
+    def _cosines(self, terms: np.ndarray, weights: np.ndarray, alive: np.ndarray) -> np.ndarray:
+        """Inner products with the examples of the blocks that are ``alive``."""
+        if alive.sum() == 1:
+            b = int(np.flatnonzero(alive)[0])
+            cut = [slice(*(f + np.searchsorted(self.example[f:t], (b * self.block, (b + 1) * self.block))))
+                   for f, t in zip(self.first[terms], self.first[terms + 1])]
+        else:
+            cut = [slice(f, t) for f, t in zip(self.first[terms], self.first[terms + 1])]
+        example = np.concatenate([self.example[c] for c in cut])
+        product = np.repeat(weights, [c.stop - c.start for c in cut]) * np.concatenate([self.weight[c] for c in cut])
+        if alive.sum() > 1 and not alive.all():
+            held = alive[example // self.block]
+            example, product = example[held], product[held]
+        return np.bincount(example, weights=product, minlength=self.n)
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest, exactly; ties to the smaller
-        number. Examples that share no term are not returned. Blocks are scored
-        in the order of their upper bounds until the bound falls below the k-th."""
+        number. Examples that share no term are not returned. The block of the
+        largest upper bound is scored first; of the others only those whose bound
+        reaches the k-th cosine found there."""
         ids, sims, kth = np.empty(0, dtype=np.int64), np.empty(0), 1e-12
-        bound = self.top[:, terms] @ weights
-        query = np.zeros(self.n_terms)
-        query[terms] = weights
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] * (1 + 1e-9) < kth:
-                break
-            example, term, weight = self.postings[b]
-            acc = np.round(np.bincount(example, weights=query[term] * weight, minlength=1), 12)
-            near = np.flatnonzero(acc >= kth)
-            near = near[near + b * self.block != skip]
-            if not len(near):
-                continue
-            ids = np.concatenate([ids, near + b * self.block])
-            sims = np.concatenate([sims, acc[near]])
-            if len(ids) >= k:
-                keep = np.lexsort((ids, -sims))[:k]
-                ids, sims = ids[keep], sims[keep]
-                kth = sims[-1]
-        order = np.lexsort((ids, -sims))
-        return ids[order], sims[order]
+        bound = weights @ self.top[terms]
+        if not len(bound):
+            return ids, sims
+        best = np.zeros(len(bound), dtype=bool)
+        best[bound.argmax()] = True
+        for alive in (best, None):
+            if alive is None:
+                alive = ~best & (bound * (1 + 1e-9) >= kth)
+                if not alive.any():
+                    break
+            acc = self._cosines(terms, weights, alive)
+            near = np.flatnonzero(acc >= kth - 1e-11)
+            near = near[near != skip]
+            ids, sims = np.concatenate([ids, near]), np.concatenate([sims, np.round(acc[near], 12)])
+            reach = sims >= kth
+            ids, sims = ids[reach], sims[reach]
+            if len(ids) > 4 * k:         # all of the k best, ties included, stay
+                reach = sims >= np.partition(sims, len(sims) - k)[len(sims) - k]
+                ids, sims = ids[reach], sims[reach]
+            keep = np.lexsort((ids, -sims))[:k]
+            ids, sims = ids[keep], sims[keep]
+            if len(ids) == k:
+                kth = max(kth, sims[-1])
+        return ids, sims
 
 
 @dataclass
@@ -118,10 +153,7 @@ class ToxicityModel:
     k: int = 15
     slope: float = 1.0
     shift: float = 0.0
-    lookup: _Lookup | None = None
-
-    def __getstate__(self):
-        return self.__dict__ | {"lookup": None}
+    key: str = ""
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
         t = np.fromiter(counts.keys(), dtype=np.int64, count=len(counts))
@@ -142,9 +174,7 @@ class ToxicityModel:
         return float(np.log(yes / no)), ids
 
     def score(self, text: str | None) -> tuple[float, list[int]]:
-        if self.lookup is None:
-            self.lookup = _Lookup(self.vocabulary)
-        odds, ids = self.vote(term_counts(text or "", self.lookup))
+        odds, ids = self.vote(term_counts(text or "", _lookup(self.key, self.vocabulary)))
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * odds + self.shift, -30, 30))), self.example_ids[ids[:5]].tolist()
 
 
@@ -204,10 +234,10 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc
     stats = per_term.orderBy("term").toPandas()
     chosen = stats[_likelihood_ratio(stats["a"].to_numpy(float), stats["b"].to_numpy(float), n1, n0) >= least_ratio] \
         if n1 and n0 else stats[:0]
-    vocabulary = {t: i for i, t in enumerate(chosen["term"])}
+    vocabulary, key = {t: i for i, t in enumerate(chosen["term"])}, uuid.uuid4().hex
 
     def frequencies(frames):
-        lookup, total = _Lookup(vocabulary), np.zeros(len(vocabulary) + 1, dtype=np.int64)
+        lookup, total = _lookup(key, vocabulary), np.zeros(len(vocabulary) + 1, dtype=np.int64)
         for b in batches(frames):
             for body in b.column(1).to_pylist():
                 found = {t for ts in map(lookup.__getitem__, set(body.decode("utf-8", "replace").split())) for t in ts}
@@ -223,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1.0
 
     def counted(frames):
-        lookup = _Lookup(vocabulary)
+        lookup = _lookup(key, vocabulary)
         for b in batches(frames):
             rows = [term_counts(x.decode("utf-8", "replace"), lookup) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -235,7 +265,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc
     prior = n1 / max(1, n1 + n0)
     counts = [Counter(dict(zip(r["t"], r["n"]))) for r in examples]
     model = ToxicityModel(vocabulary, idf, BlockMaxIndex([], len(vocabulary)), np.array([r["doc_id"] for r in examples], dtype=np.int64),
-                          np.array([int(r["y"] == 1) for r in examples], dtype=np.int64), min(max(prior, 1e-3), 1 - 1e-3), k)
+                          np.array([int(r["y"] == 1) for r in examples], dtype=np.int64), min(max(prior, 1e-3), 1 - 1e-3), k, key=key)
     model.index = BlockMaxIndex([model.vector(c) for c in counts], len(vocabulary))
     if n1 and n0:
         def leave_one_out(frames):
