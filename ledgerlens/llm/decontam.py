@@ -2,10 +2,10 @@
 
 Texts become word and number tokens. Numbers, units after numbers and
 capitalised words are replaced by typed placeholders, and windows of the
-resulting templates are hash-joined with those of the benchmark. Windows that
-line up (same shift) are counted, and the values behind the placeholders must map
-one to one, so a question with other numbers or names is caught and a chance
-template is not."""
+resulting templates are hash-joined with those of the benchmark. A pair that
+meets is compared token by token at its shift: a long enough stretch must agree
+and the values behind its placeholders must map one to one, so a question with
+other numbers or names is caught and a chance template is not."""
 
 from __future__ import annotations
 
@@ -45,9 +45,12 @@ def templates(tokens: Column) -> Column:
     placeholders, and the same with capitalised words replaced as well.
     ``tokens`` must be a bound value (see _let)."""
     def plain(low: Column) -> Column:
-        return F.transform(low, lambda t, i: F.when(_is_number(t), F.lit(NUM).cast("long"))
-                           .when(t.isin(UNIT_WORDS) & (i > 0) & _is_number(F.get(low, i - 1)), F.lit(UNIT).cast("long"))
-                           .otherwise(F.xxhash64(t)))
+        num, unit = (F.lit(x).cast("long") for x in (NUM, UNIT))
+        after = lambda i: (i > 0) & _is_number(F.get(low, i - 1))
+        # one lookup tells most words apart from the listed ones
+        return F.transform(low, lambda t, i: F.when((t >= "0") & (t < ":"), num)
+                           .when(~t.isin(NUMBER_WORDS + UNIT_WORDS), F.xxhash64(t))
+                           .when(t.isin(NUMBER_WORDS), num).when(after(i), unit).otherwise(F.xxhash64(t)))
 
     def both(low: Column) -> Column:
         return _let(plain(low), lambda p: F.struct(p.alias("p"), F.transform(
@@ -59,18 +62,19 @@ def _tokens(text_col: str) -> Column:
     return F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(TOKEN), F.lit(0))
 
 
-def _spots(codes: Column, length: int) -> Column:
-    """(pos, h) of every window of bound ``codes``; none where fewer tokens."""
-    places = F.when(F.size(codes) >= length, F.sequence(F.lit(0), F.size(codes) - length))
+def _spots(codes: Column, length: int, stride: int) -> Column:
+    """(pos, h) of every ``stride``-th window of bound ``codes``; none where
+    fewer tokens."""
+    places = F.when(F.size(codes) >= length, F.sequence(F.lit(0), F.size(codes) - length, F.lit(stride)))
     return F.transform(places, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice(codes, i + 1, F.lit(length))).alias("h")))
 
 
-def document_windows(docs: DataFrame, key: list[Column], text_col: str, lengths: list[int]) -> DataFrame:
-    """(key, pos, h): the windows of both template forms of every text. Equal
-    forms give equal hashes and then one row."""
+def document_windows(docs: DataFrame, key: list[Column], text_col: str, shapes: list[tuple[int, int]]) -> DataFrame:
+    """(key, pos, h): windows of both template forms of every text, for each
+    (length, stride). Equal forms give equal hashes and then one row."""
     def spots(codes: Column) -> Column:
         none = F.array().cast("array<struct<pos:int,h:bigint>>")
-        return F.concat(*[F.coalesce(_spots(codes, n), none) for n in lengths])
+        return F.concat(*[F.coalesce(_spots(codes, n, k), none) for n, k in shapes])
     found = _let(_let(_tokens(text_col), templates), lambda s: _let(s["p"], lambda p: _let(s["n"], lambda n: F.struct(
         spots(p).alias("p"), spots(n).alias("n")))))
     # both lists have the same places: keep the second's entry where it differs
@@ -78,74 +82,87 @@ def document_windows(docs: DataFrame, key: list[Column], text_col: str, lengths:
     return docs.select(*key, F.inline(found))
 
 
-def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, window: int, least: int) -> DataFrame:
-    """(item, n_tok, len, at, h): windows of both forms with ``least`` literal
-    tokens; an item shorter than the window has one window of its length."""
+def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, run: int, least: int) -> DataFrame:
+    """(item, need, len, stride, at, h): windows of both forms with ``least``
+    literal tokens. An item needs a stretch of ``run`` tokens (all of a shorter
+    item); its windows are two shorter, so any such stretch holds one at every
+    third place."""
     items = benchmark.where(F.col(item_col).isNotNull()) \
         .select(F.col(item_col).alias("item"), _let(_tokens(text_col), templates).alias("f")) \
         .select("item", F.explode(F.array("f.p", "f.n")).alias("codes")).where(F.size("codes") >= least)
-    items = items.withColumn("n_tok", F.size("codes")).withColumn("len", F.least(F.col("n_tok"), F.lit(window)))
-    cut = items.select("item", "n_tok", "len", F.posexplode(F.transform(
-        F.sequence(F.lit(0), F.col("n_tok") - F.col("len")), lambda i: F.slice("codes", i + 1, F.col("len")))).alias("at", "w"))
+    items = items.withColumn("need", F.least(F.size("codes"), F.lit(run))) \
+        .withColumn("len", F.greatest(F.lit(least), F.col("need") - 2))
+    cut = items.select("item", "need", "len", F.posexplode(F.transform(
+        F.sequence(F.lit(0), F.size("codes") - F.col("len")), lambda i: F.slice("codes", i + 1, F.col("len")))).alias("at", "w"))
     literal = F.size(F.filter("w", lambda c: (c != NUM) & (c != UNIT) & (c != NAME)))
-    return cut.where(literal >= least).select("item", "n_tok", "len", "at", F.xxhash64("w").alias("h")).distinct()
+    return cut.where(literal >= least).select("item", "need", "len", (F.col("need") - F.col("len") + 1).alias("stride"),
+                                              "at", F.xxhash64("w").alias("h")).distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text_col: str = "text", window: int = 10,
-                 aligned: int = 3, least: int = 5) -> DataFrame:
-    """(doc_id, item_id, n_windows, changed) for every document that holds a
+                 item_col: str = "item_id", item_text_col: str = "text", run: int = 12, least: int = 5) -> DataFrame:
+    """(doc_id, item_id, n_tokens, changed) for every document that holds a
     benchmark passage.
 
-    A document matches an item if, at one shift, at least ``aligned`` windows of
-    ``window`` template tokens (all windows of a shorter item) agree, and the
-    values behind the placeholders of those windows map one to one. ``changed``
-    tells whether any value differs from the benchmark's. Windows need ``least``
-    literal tokens. Null and empty texts and items hold nothing; a null item id
-    is ignored; rows of one id match as one document; items with equal texts
-    each match. Empty tables give no rows."""
-    wins = shared_table(benchmark_windows(benchmark, item_col, item_text_col, window, least), "bench-windows")
-    lengths = [r["len"] for r in wins.select("len").distinct().collect()]      # at most ``window`` values
-    schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, item_id " \
-             f"{benchmark.schema[item_col].dataType.simpleString()}, n_windows long, changed boolean"
-    if not lengths:
+    A document matches an item if, at one shift, at least ``run`` template
+    tokens in a row agree (all tokens of a shorter item), a window of them has
+    ``least`` literal tokens, and the values behind the placeholders of the
+    longest such stretch map one to one. A token agrees if its code does, or if
+    both are capitalised. ``n_tokens`` is the longest stretch, ``changed`` tells
+    whether some value differs at every matching shift. Null and empty texts and
+    items hold nothing; a null item id is ignored; rows of one id match as one
+    document; items with equal texts each match; items under ``least`` tokens
+    never do. Empty tables give no rows."""
+    wins = shared_table(benchmark_windows(benchmark, item_col, item_text_col, run, least), "bench-windows")
+    # at most ``run`` rows
+    shapes = [(r["len"], r["stride"]) for r in wins.select("len", "stride").distinct().orderBy("len", "stride").collect()]
+    if not shapes:
+        schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, item_id " \
+                 f"{benchmark.schema[item_col].dataType.simpleString()}, n_tokens long, changed boolean"
         return docs.sparkSession.createDataFrame([], schema)
     keys = [F.col(id_col).alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th")]
     if wins.count() <= BROADCAST_WINDOWS:
         wins = F.broadcast(wins)
-    hits = document_windows(docs, keys, text_col, lengths).join(wins, "h") \
-        .select("doc", "th", "item", "n_tok", (F.col("pos") - F.col("at")).alias("shift"), "at", "len")
-    need = F.least(F.lit(aligned), F.first("n_tok") - F.first("len") + 1)
-    lined = hits.groupBy("doc", "th", "item", "shift") \
-        .agg(F.count_distinct("at").alias("n"), F.min("at").alias("lo"), F.max(F.col("at") + F.col("len")).alias("hi"),
-             need.alias("need")).where(F.col("n") >= F.col("need")).drop("need")
-    lined = shared_table(lined, "aligned")
+    met = document_windows(docs, keys, text_col, shapes).join(wins, "h") \
+        .select("doc", "th", "item", "need", (F.col("pos") - F.col("at")).alias("shift")).distinct()
+    met = shared_table(met, "decontam-met")
     texts = docs.select(*keys, F.col(text_col).alias("body")) \
         .select(F.col("doc").alias("d2"), F.col("th").alias("t2"), "body")
-    # only texts with aligned windows are split again
-    found = texts.join(lined.select("doc", "th").distinct(),
+    # only texts that met an item are split again
+    found = texts.join(met.select("doc", "th").distinct(),
                        F.col("d2").eqNullSafe(F.col("doc")) & (F.col("t2") == F.col("th")), "left_semi") \
-        .groupBy("d2", "t2").agg(F.first("body").alias("body")).select("d2", "t2", _tokens("body").alias("dt"))
-    items = benchmark.where(F.col(item_col).isNotNull()) \
-        .select(F.col(item_col).alias("item"), _tokens(item_text_col).alias("it"))
-    both = lined.join(shared_table(found, "aligned-texts"), F.col("doc").eqNullSafe(F.col("d2")) & (F.col("th") == F.col("t2"))) \
+        .groupBy("d2", "t2").agg(F.first("body").alias("body")) \
+        .select("d2", "t2", _let(_tokens("body"), lambda t: F.struct(t.alias("t"), templates(t).alias("c"))).alias("dt"))
+    items = benchmark.where(F.col(item_col).isNotNull()).select(
+        F.col(item_col).alias("item"),
+        _let(_tokens(item_text_col), lambda t: F.struct(t.alias("t"), templates(t).alias("c"))).alias("it"))
+    both = met.join(shared_table(found, "decontam-texts"), F.col("doc").eqNullSafe(F.col("d2")) & (F.col("th") == F.col("t2"))) \
         .join(items, "item")
-    # slots: where the benchmark's token is a placeholder of the named form
-    named = _let(F.col("it"), templates)["n"]
-    both = both.withColumn("slots", F.filter(F.transform(named, lambda c, i: F.struct(
-        c.isin(NUM, UNIT, NAME).alias("slot"), F.lower(F.get("it", i)).alias("a"),
-        F.lower(F.get("dt", i + F.col("shift"))).alias("b"), i.alias("i"))),
-        lambda s: s["slot"] & (s["i"] >= F.col("lo")) & (s["i"] < F.col("hi")) & s["b"].isNotNull()))
-    pairs = F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["a"].alias("a"), s["b"].alias("b")))))
-    ok = (pairs == F.size(F.array_distinct("slots.a"))) & (pairs == F.size(F.array_distinct("slots.b")))
-    changed = F.exists("slots", lambda s: s["a"] != s["b"])
-    return both.where(ok).groupBy(F.col("doc").alias("doc_id"), F.col("item").alias("item_id")) \
-        .agg(F.max("n").alias("n_windows"), F.min(changed).alias("changed"))
+
+    def token(c: Column, i: Column) -> Column:
+        j = F.when(i + F.col("shift") >= 0, i + F.col("shift"))
+        mine, named = F.get("dt.c.p", j), F.get("dt.c.n", j)
+        return F.struct(i.alias("i"), F.coalesce((c == mine) | ((F.get("it.c.n", i) == NAME) & (named == NAME)), F.lit(False))
+                        .alias("ok"), F.get("it.c.n", i).isin(NUM, UNIT, NAME).alias("slot"),
+                        F.lower(F.get("it.t", i)).alias("a"), F.lower(F.get("dt.t", j)).alias("b"))
+    both = both.withColumn("tokens", F.transform("it.c.p", token))
+    # the longest stretch that agrees: its length and its end; the first of equals
+    zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("best"), F.lit(0).alias("end"))
+    step = lambda s, x: _let(F.when(x["ok"], s["now"] + 1).otherwise(0), lambda n: F.struct(
+        n.alias("now"), F.greatest(s["best"], n).alias("best"), F.when(n > s["best"], x["i"] + 1).otherwise(s["end"]).alias("end")))
+    both = both.withColumn("s", F.aggregate("tokens", zero, step)).where(F.col("s.best") >= F.col("need"))
+    both = both.withColumn("slots", F.filter("tokens", lambda x: x["slot"] & (x["i"] < F.col("s.end"))
+                                             & (x["i"] >= F.col("s.end") - F.col("s.best"))))
+    pairs = F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b")))))
+    fits = (pairs == F.size(F.array_distinct("slots.a"))) & (pairs == F.size(F.array_distinct("slots.b")))
+    changed = F.exists("slots", lambda x: x["a"] != x["b"])
+    return both.where(fits).groupBy(F.col("doc").alias("doc_id"), F.col("item").alias("item_id")) \
+        .agg(F.max("s.best").cast("long").alias("n_tokens"), F.min(changed).alias("changed"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   **options) -> DataFrame:
     """The rows of ``docs`` whose id is not contaminated, all columns; rows
-    without an id go by a text match of their own null id."""
+    without an id go where one of them matches."""
     bad = contaminated(docs, benchmark, id_col, text_col, **options).select(F.col("doc_id").alias("gone")).distinct()
     return docs.join(bad, docs[id_col].eqNullSafe(bad["gone"]), "left_anti")

@@ -60,31 +60,31 @@ def _decontam_sql() -> str:
     return f"""
 WITH d AS (SELECT doc_id, {tok} FROM documents),
 b AS (SELECT item_id, {tok} FROM benchmark WHERE item_id IS NOT NULL),
-bi AS (SELECT * FROM b WHERE len(tok) >= 5),
-bf AS (SELECT item_id, len(tok) AS n, least(len(tok), 10) AS w, 0 AS form, {code.format("")} AS c FROM bi
-  UNION ALL SELECT item_id, len(tok), least(len(tok), 10), 1, {code.format(name)} FROM bi),
-bw AS (SELECT item_id, n, w, form, ofs, c[ofs + 1:ofs + w] AS win
-  FROM (SELECT *, unnest(range(0, n - w + 1)) AS ofs FROM bf)),
-bk AS (SELECT * FROM bw WHERE len(list_filter(win, lambda x: x NOT IN {slots})) >= 5
-  AND (form = 0 OR list_contains(win, '<name>'))),
-ws AS (SELECT DISTINCT w FROM bk),
-df AS (SELECT doc_id, 0 AS form, {code.format("")} AS c FROM d
-  UNION ALL SELECT doc_id, 1, {code.format(name)} FROM d),
-dw AS (SELECT doc_id, form, w, pos, c[pos + 1:pos + w] AS win
-  FROM (SELECT df.*, ws.w, unnest(range(0, greatest(0, len(c) - ws.w + 1))) AS pos FROM df, ws)),
-l AS (SELECT doc_id, item_id, pos - ofs AS shift, count(DISTINCT ofs) AS k, min(ofs) AS lo, max(ofs + w) AS hi,
-    least(3, any_value(n) - any_value(w) + 1) AS need
-  FROM dw JOIN bk USING (form, w, win) GROUP BY ALL),
-p AS (SELECT l.*, d.tok AS dt, b.tok AS it, unnest(range(lo, hi)) AS i FROM l JOIN d USING (doc_id) JOIN b USING (item_id)
-  WHERE k >= need),
-q AS (SELECT *, lower(it[i + 1]) AS a, lower(dt[i + shift + 1]) AS z,
-    ({num.format("it[i + 1]")} OR it[i + 1] <> lower(it[i + 1])
-     OR (i > 0 AND {num.format("it[i]")} AND lower(it[i + 1]) IN ({units}))) AS slot FROM p),
-r AS (SELECT doc_id, item_id, shift, any_value(k) AS k, coalesce(bool_or(a <> z) FILTER (slot), false) AS changed,
+bi AS (SELECT item_id, tok, least(len(tok), 12) AS need, greatest(5, least(len(tok), 12) - 2) AS w FROM b WHERE len(tok) >= 5),
+bf AS (SELECT *, {code.format("")} AS c FROM bi UNION ALL SELECT *, {code.format(name)} FROM bi),
+bk AS (SELECT DISTINCT item_id, need, w, ofs, win FROM (
+    SELECT *, c[ofs + 1:ofs + w] AS win FROM (SELECT *, unnest(range(0, len(c) - w + 1)) AS ofs FROM bf))
+  WHERE len(list_filter(win, lambda x: x NOT IN {slots})) >= 5),
+ws AS (SELECT DISTINCT w, need - w + 1 AS stride FROM bk),
+dc AS (SELECT doc_id, tok, {code.format("")} AS p, {code.format(name)} AS n FROM d),
+bc AS (SELECT item_id, tok, need, {code.format("")} AS p, {code.format(name)} AS n FROM bi),
+dw AS (SELECT doc_id, w, pos, c[pos + 1:pos + w] AS win
+  FROM (SELECT dx.*, ws.w, unnest(range(0, greatest(0, len(c) - ws.w + 1), ws.stride)) AS pos
+        FROM (SELECT doc_id, p AS c FROM dc UNION ALL SELECT doc_id, n FROM dc) dx, ws)),
+l AS (SELECT DISTINCT doc_id, item_id, pos - ofs AS shift FROM dw JOIN bk USING (w, win)),
+t AS (SELECT doc_id, item_id, shift, bc.need, i, coalesce(bc.p[i + 1] = dc.p[j + 1] OR (bc.n[i + 1] = '<name>' AND dc.n[j + 1] = '<name>'), false) AS ok,
+    bc.n[i + 1] IN {slots} AS slot, lower(bc.tok[i + 1]) AS a, lower(dc.tok[j + 1]) AS z
+  FROM (SELECT *, CASE WHEN i + shift >= 0 THEN i + shift ELSE 1000000000 END AS j
+        FROM (SELECT l.*, unnest(range(0, len(bc.tok))) AS i FROM l JOIN bc USING (item_id))) x
+  JOIN dc USING (doc_id) JOIN bc USING (item_id)),
+g AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY i) AS island FROM t WHERE ok),
+u AS (SELECT doc_id, item_id, shift, island, count(*) AS k, min(i) AS lo, any_value(need) AS need,
+    coalesce(bool_or(a <> z) FILTER (slot), false) AS changed,
     count(DISTINCT (a, z)) FILTER (slot) AS nb, count(DISTINCT a) FILTER (slot) AS na, count(DISTINCT z) FILTER (slot) AS nz
-  FROM q GROUP BY doc_id, item_id, shift)
-SELECT doc_id, item_id, max(k)::BIGINT AS n_windows, bool_and(changed) AS changed
-FROM r WHERE nb = na AND nb = nz GROUP BY doc_id, item_id
+  FROM g GROUP BY doc_id, item_id, shift, island),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY k DESC, lo) AS rn FROM u)
+SELECT doc_id, item_id, max(k)::BIGINT AS n_tokens, bool_and(changed) AS changed
+FROM r WHERE rn = 1 AND k >= need AND nb = na AND nb = nz GROUP BY doc_id, item_id
 """
 
 
