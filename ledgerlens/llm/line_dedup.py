@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, ascii_lower, hash128
+from .common import ASCII_SPACE, ascii_lower, hash128, shared_table
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -35,6 +35,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     at = at.select("id", "th", "pos", F.col("h.a").alias("ha"), F.col("h.b").alias("hb"))
     common = at.groupBy("ha", "hb").agg(F.count_distinct(F.struct("id")).alias("n")) \
         .where(F.col("n") >= min_docs).select("ha", "hb")
+    # read back, so that the join's sides are plain exchanges and a hot line can be split
+    common = shared_table(common, "common-lines")
     dropped = at.join(common, ["ha", "hb"]).groupBy("id", "th") \
         .agg(F.collect_set("pos").alias("gone")) \
         .select(F.col("id").alias("gid"), F.col("th").alias("gth"), "gone")
