@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import shared_table
 
-GRAM, RUN, SHALLOW, HOT = 32, 64, 24, 2000
+GRAM, RUN, SHALLOW, HOT = 32, 96, 24, 2000
 #: Bytes of text hashed at once, window starts per piece of a long text, text bytes sorted at once.
 SLAB, PIECE, SORT_BYTES = 1 << 17, 1 << 20, 2 << 20
 _M1, _M2, _BASE = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), 0x9E3779B97F4A7C15
