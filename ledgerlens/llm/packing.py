@@ -19,7 +19,7 @@ from .common import batches, shared_table, text_bytes
 from .tokens import encoder
 
 #: Pieces of one length that one task ranks.
-RANK_ROWS = 50_000
+RANK_ROWS = 4_000
 
 
 def fullest(counts: dict[int, int], order: list[int], room: int) -> dict[int, int]:
