@@ -135,7 +135,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     comp = connected_components(reps.select(F.col("fp").alias("id")), links) \
         .select(F.col("id").alias("fp"), "component")
     known = reps.join(comp, "fp")
-    first = known.groupBy("component").agg(F.min("rep").alias("component_id"))
+    # read back, so that the join's sides are plain exchanges and a large group can be split
+    first = shared_table(known.groupBy("component").agg(F.min("rep").alias("component_id")), "simhash-first")
     return prints.join(known.join(first, "component").select("fp", "component_id"), "fp") \
         .select("doc_id", "fp", "component_id")
 
