@@ -157,7 +157,7 @@ def kmeans_clusters(metrics: DataFrame, cols=tuple(METRIC_FEATURES), max_k: int
 def _centre_distance(centers, prediction):
     """Euclidean distance of ``scaled`` to its centre; the k <= MAX_K centres
     are a literal."""
-    centre = F.element_at(F.array(*[F.array(*[F.lit(x) for x in c]) for c in centers]), prediction + 1)
+    centre = F.element_at(F.array(*[F.array(*[F.lit(x) for x in c]) for c in centers]), (prediction + 1).cast("int"))
     return F.sqrt(F.aggregate(F.zip_with("scaled", centre, lambda a, b: (a - b) * (a - b)), F.lit(0.0),
                               lambda acc, x: acc + x))
 
