@@ -62,19 +62,18 @@ def _tokens(text_col: str) -> Column:
     return F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(TOKEN), F.lit(0))
 
 
-def _spots(codes: Column, length: int, stride: int) -> Column:
-    """(pos, h) of every ``stride``-th window of bound ``codes``; none where
-    fewer tokens."""
-    places = F.when(F.size(codes) >= length, F.sequence(F.lit(0), F.size(codes) - length, F.lit(stride)))
+def _spots(codes: Column, length: int) -> Column:
+    """(pos, h) of every window of bound ``codes``; none where fewer tokens."""
+    places = F.when(F.size(codes) >= length, F.sequence(F.lit(0), F.size(codes) - length))
     return F.transform(places, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice(codes, i + 1, F.lit(length))).alias("h")))
 
 
-def document_windows(docs: DataFrame, key: list[Column], text_col: str, shapes: list[tuple[int, int]]) -> DataFrame:
+def document_windows(docs: DataFrame, key: list[Column], text_col: str, lengths: list[int]) -> DataFrame:
     """(key, pos, h): windows of both template forms of every text, for each
-    (length, stride). Equal forms give equal hashes and then one row."""
+    length. Equal forms give equal hashes and then one row."""
     def spots(codes: Column) -> Column:
         none = F.array().cast("array<struct<pos:int,h:bigint>>")
-        return F.concat(*[F.coalesce(_spots(codes, n, k), none) for n, k in shapes])
+        return F.concat(*[F.coalesce(_spots(codes, n), none) for n in lengths])
     found = _let(_let(_tokens(text_col), templates), lambda s: _let(s["p"], lambda p: _let(s["n"], lambda n: F.struct(
         spots(p).alias("p"), spots(n).alias("n")))))
     # both lists have the same places: keep the second's entry where it differs
@@ -83,10 +82,10 @@ def document_windows(docs: DataFrame, key: list[Column], text_col: str, shapes:
 
 
 def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, run: int, least: int) -> DataFrame:
-    """(item, need, len, stride, at, h): windows of both forms with ``least``
-    literal tokens. An item needs a stretch of ``run`` tokens (all of a shorter
-    item); its windows are two shorter, so any such stretch holds one at every
-    third place."""
+    """(item, need, len, at, h): windows of both forms with ``least`` literal
+    tokens. An item needs a stretch of ``run`` tokens (all of a shorter item);
+    its windows are two shorter. Windows with fewer literal tokens are dropped
+    one by one, so documents have theirs at every place."""
     items = benchmark.where(F.col(item_col).isNotNull()) \
         .select(F.col(item_col).alias("item"), _let(_tokens(text_col), templates).alias("f")) \
         .select("item", F.explode(F.array("f.p", "f.n")).alias("codes")).where(F.size("codes") >= least)
@@ -95,8 +94,7 @@ def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, run: i
     cut = items.select("item", "need", "len", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.size("codes") - F.col("len")), lambda i: F.slice("codes", i + 1, F.col("len")))).alias("at", "w"))
     literal = F.size(F.filter("w", lambda c: (c != NUM) & (c != UNIT) & (c != NAME)))
-    return cut.where(literal >= least).select("item", "need", "len", (F.col("need") - F.col("len") + 1).alias("stride"),
-                                              "at", F.xxhash64("w").alias("h")).distinct()
+    return cut.where(literal >= least).select("item", "need", "len", "at", F.xxhash64("w").alias("h")).distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -115,15 +113,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     never do. Empty tables give no rows."""
     wins = shared_table(benchmark_windows(benchmark, item_col, item_text_col, run, least), "bench-windows")
     # at most ``run`` rows
-    shapes = [(r["len"], r["stride"]) for r in wins.select("len", "stride").distinct().orderBy("len", "stride").collect()]
-    if not shapes:
+    lengths = [r["len"] for r in wins.select("len").distinct().orderBy("len").collect()]
+    if not lengths:
         schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, item_id " \
                  f"{benchmark.schema[item_col].dataType.simpleString()}, n_tokens long, changed boolean"
         return docs.sparkSession.createDataFrame([], schema)
     keys = [F.col(id_col).alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th")]
     if wins.count() <= BROADCAST_WINDOWS:
         wins = F.broadcast(wins)
-    met = document_windows(docs, keys, text_col, shapes).join(wins, "h") \
+    met = document_windows(docs, keys, text_col, lengths).join(wins, "h") \
         .select("doc", "th", "item", "need", (F.col("pos") - F.col("at")).alias("shift")).distinct()
     met = shared_table(met, "decontam-met")
     texts = docs.select(*keys, F.col(text_col).alias("body")) \

@@ -113,3 +113,11 @@ def test_decontaminate_and_empty_tables(spark, tables):
     assert d.contaminated(docs.limit(0), items).count() == 0
     assert d.contaminated(docs, items.limit(0)).count() == 0
     assert d.decontaminate(docs, items.limit(0)).count() == len(DOCS)
+
+
+def test_short_and_number_rich_passages_at_every_offset(spark):
+    items = [(1, "How many minutes are in 3 hours"), (2, "so 7 and 8 then 9 with ten apples were left over")]
+    docs = [(100 * k + n, "w " * n + text + " end") for k, text in items for n in range(4)]
+    got = found(d.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                               spark.createDataFrame(items, "item_id long, text string")))
+    assert set(got) == {(100 * k + n, k) for k, _ in items for n in range(4)}
