@@ -97,6 +97,33 @@ def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, run: i
     return cut.where(literal >= least).select("item", "need", "len", "at", F.xxhash64("w").alias("h")).distinct()
 
 
+def _longest_part(tokens: Column, need: Column, run: int) -> Column:
+    """struct(best, end): the longest part of the stretches that agree whose
+    values map one to one; best is 0 where none counts. A whole stretch counts
+    from ``need`` tokens, a part of one with conflicting values from 2 ``run``,
+    or from ``run`` + 1 tokens of which no value differs."""
+    def bounds(t: Column) -> Column:
+        """Where a part that ends with ``t`` may start at the earliest."""
+        clash = F.filter(tokens, lambda u: u["slot"] & u["ok"] & (u["i"] < t["i"]) & ((u["a"] == t["a"]) != (u["b"] == t["b"])))
+        after = t["i"] + 1
+        return F.struct(t["i"].alias("i"), F.when(~t["ok"], after).otherwise(0).alias("whole"),
+                        F.when(~t["ok"], after).when(t["slot"], F.coalesce(F.array_max(clash["i"]) + 1, F.lit(0))).otherwise(0).alias("part"),
+                        F.when(~t["ok"] | (t["slot"] & (t["a"] != t["b"])), after).otherwise(0).alias("same"),
+                        (~F.coalesce(F.get(tokens, after)["ok"], F.lit(False))).alias("last"))
+
+    def step(s: Column, x: Column) -> Column:
+        def best(n: Column) -> Column:
+            end = x["i"] + 1
+            part, same = end - n["part"], end - n["same"]
+            counts = (part >= 2 * run) | (x["last"] & (n["part"] == n["whole"]) & (part >= need))
+            size = F.when(counts, part).when(same >= run + 1, same).otherwise(0)
+            return F.struct(n["whole"].alias("whole"), n["part"].alias("part"), n["same"].alias("same"),
+                            F.greatest(s["best"], size).alias("best"), F.when(size > s["best"], end).otherwise(s["end"]).alias("end"))
+        return _let(F.struct(*[F.greatest(s[k], x[k]).alias(k) for k in ("whole", "part", "same")]), best)
+    zero = F.struct(*[F.lit(0).alias(k) for k in ("whole", "part", "same", "best", "end")])
+    return F.aggregate(F.transform(tokens, bounds), zero, step, lambda s: F.struct(s["best"].alias("best"), s["end"].alias("end")))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", run: int = 12, least: int = 5) -> DataFrame:
     """(doc_id, item_id, n_tokens, changed) for every document that holds a
@@ -105,8 +132,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     A document matches an item if, at one shift, at least ``run`` template
     tokens in a row agree (all tokens of a shorter item), a window of them has
     ``least`` literal tokens, and the values behind the placeholders of the
-    longest such stretch map one to one. A token agrees if its code does, or if
-    both are capitalised. ``n_tokens`` is the longest stretch, ``changed`` tells
+    longest such stretch map one to one. Of stretches where they don't, the
+    longest consistent part counts from twice ``run`` tokens, or from ``run`` + 1
+    tokens copied with all values. A token agrees if its code does, or if
+    both are capitalised. ``n_tokens`` is the longest stretch or part, ``changed`` tells
     whether some value differs at every matching shift. Null and empty texts and
     items hold nothing; a null item id is ignored; rows of one id match as one
     document; items with equal texts each match; items under ``least`` tokens
@@ -149,12 +178,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     step = lambda s, x: _let(F.when(x["ok"], s["now"] + 1).otherwise(0), lambda n: F.struct(
         n.alias("now"), F.greatest(s["best"], n).alias("best"), F.when(n > s["best"], x["i"] + 1).otherwise(s["end"]).alias("end")))
     both = both.withColumn("s", F.aggregate("tokens", zero, step)).where(F.col("s.best") >= F.col("need"))
-    both = both.withColumn("slots", F.filter("tokens", lambda x: x["slot"] & (x["i"] < F.col("s.end"))
-                                             & (x["i"] >= F.col("s.end") - F.col("s.best"))))
+
+    def slots(best: Column, end: Column) -> Column:
+        return F.filter("tokens", lambda x: x["slot"] & (x["i"] < end) & (x["i"] >= end - best))
+
+    both = both.withColumn("slots", slots(F.col("s.best"), F.col("s.end")))
     pairs = F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b")))))
     fits = (pairs == F.size(F.array_distinct("slots.a"))) & (pairs == F.size(F.array_distinct("slots.b")))
-    changed = F.exists("slots", lambda x: x["a"] != x["b"])
-    return both.where(fits).groupBy(F.col("doc").alias("doc_id"), F.col("item").alias("item_id")) \
+    # only where it does not fit: the longest consistent part
+    both = both.withColumn("s", F.when(fits, F.struct(F.col("s.best").alias("best"), F.col("s.end").alias("end")))
+                           .otherwise(_longest_part(F.col("tokens"), F.col("need"), run))).where(F.col("s.best") > 0)
+    changed = F.exists(slots(F.col("s.best"), F.col("s.end")), lambda x: x["a"] != x["b"])
+    return both.groupBy(F.col("doc").alias("doc_id"), F.col("item").alias("item_id")) \
         .agg(F.max("s.best").cast("long").alias("n_tokens"), F.min(changed).alias("changed"))
 
 

@@ -121,3 +121,15 @@ def test_short_and_number_rich_passages_at_every_offset(spark):
     got = found(d.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
                                spark.createDataFrame(items, "item_id long, text string")))
     assert set(got) == {(100 * k + n, k) for k, _ in items for n in range(4)}
+
+
+def test_a_conflicting_value_does_not_void_a_long_copy(spark):
+    words = [f"{a}{b}" for a in ("ka", "lo", "mi", "ne", "pu") for b in ("ra", "se", "ti", "vo", "zu")]
+    item = " ".join(words[:9] + ["12"] + words[9:18] + ["12"] + words[18:] + words[::-1])
+    second = item.rindex("12")
+    quote = item.split()[:16]
+    docs = [(1, item[:second] + "13" + item[second + 2:]), (2, " ".join(quote[:9] + ["12"] + quote[10:] + ["oh"])),
+            (3, " ".join(words[:9] + ["40"] + words[9:18] + ["41"])), (4, " ".join(item.split()[4:19] + ["13"]))]
+    got = found(d.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                               spark.createDataFrame([(1, item)], "item_id long, text string")))
+    assert got == {(1, 1): (42, True), (2, 1): (16, False), (4, 1): (15, False)}
