@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chaining, decontam, line_dedup, packing, quality, simhash, suffix_dedup, token_output, topk, toxicity
+from . import (chaining, decontam, hard_negatives, line_dedup, merkle, mixing, packing, quality, simhash, suffix_dedup,
+               token_output, topk, toxicity)
 from .common import read
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -156,3 +157,108 @@ def op1(spark, sf_dir):
 @query("op4_chaining")
 def op4(spark, sf_dir):
     return chaining.repeated_passages(documents(spark, sf_dir), min_words=50, similarity=0.8)
+
+
+def _sha_row(n_chars: str) -> str:
+    one = "coalesce(strlen(({0})::VARCHAR)::VARCHAR || ':' || ({0})::VARCHAR, '-')"
+    return f"sha256({' || '.join(one.format(c) for c in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+_CRC = """xor(list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, d: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295)"""
+
+
+@query("op11_merkle_manifest", f"""
+WITH RECURSIVE leaf AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS g, {_sha_row('n_chars')} AS leaf,
+         CASE WHEN {_CRC} % 7 = 0 AND n_chars IS NOT NULL THEN {_sha_row('n_chars + 1')} END AS changed FROM documents),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                  count(*) OVER (PARTITION BY g) AS n FROM leaf),
+t AS (SELECT g, 0 AS lev, pos, n, leaf AS h FROM ranked
+  UNION ALL SELECT g, lev + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM t
+            WHERE n > 1 GROUP BY g, lev, pos // 2, n),
+sub AS (SELECT g, lev AS top, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT 0 AS lev, pos, n, subroot AS h FROM sub
+  UNION ALL SELECT lev + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM u
+            WHERE n > 1 GROUP BY lev, pos // 2, n),
+root AS (SELECT h AS root, lev AS top FROM u WHERE n = 1),
+steps AS (
+  SELECT r.g, r.pos, l.lev, CASE WHEN s.h IS NULL THEN 'N' WHEN (r.pos >> l.lev) % 2 = 0 THEN 'R' || s.h ELSE 'L' || s.h END AS step
+  FROM ranked r JOIN sub USING (g) JOIN (SELECT unnest(range(0, 64)) AS lev) l ON l.lev < sub.top
+  LEFT JOIN t s ON s.g = r.g AND s.lev = l.lev AND s.pos = xor(r.pos >> l.lev, 1)
+  UNION ALL
+  SELECT r.g, r.pos, sub.top + l.lev, CASE WHEN s.h IS NULL THEN 'N' WHEN (sub.pos >> l.lev) % 2 = 0 THEN 'R' || s.h ELSE 'L' || s.h END
+  FROM ranked r JOIN sub USING (g) JOIN root ON true JOIN (SELECT unnest(range(0, 64)) AS lev) l ON l.lev < root.top
+  LEFT JOIN u s ON s.lev = l.lev AND s.pos = xor(sub.pos >> l.lev, 1)),
+path AS (SELECT g, pos, list(step ORDER BY lev) AS steps FROM steps GROUP BY g, pos)
+SELECT doc_id, leaf, subroot, root, sha256(list_aggregate(list_transform(list_concat([''], coalesce(steps, [])), lambda x: substr(x, 2)), 'string_agg', ''))
+         AS proof_sha256,
+       list_reduce(list_concat([coalesce(changed, leaf)], coalesce(steps, [])), lambda acc, x: CASE x[1]
+         WHEN 'N' THEN sha256(acc) WHEN 'R' THEN sha256(acc || substr(x, 2)) ELSE sha256(substr(x, 2) || acc) END) AS folded_root,
+       folded_root = root AS verified
+FROM ranked JOIN sub USING (g) JOIN root ON true LEFT JOIN path ON path.g = ranked.g AND path.pos = ranked.pos
+""")
+def op11(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    more = merkle.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars").cast("decimal(20,0)") + 1, F.col("text"))
+    changed = F.when((id_crc() % 7 == 0) & F.col("n_chars").isNotNull(), more)
+    return merkle.audit(docs, changed=changed)
+
+
+@query("op12_hard_negatives", """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+""")
+def op12(spark, sf_dir):
+    rows = read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved), every=50)
+
+
+@query("op13_mixing", r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         CASE WHEN text IS NULL THEN '-' ELSE '=' || md5(text) END AS m FROM documents),
+src AS (SELECT *, (s % 3 + 1)::BIGINT AS w FROM (
+  SELECT source, sum(size)::BIGINT AS z, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS s FROM sized GROUP BY source)),
+cap AS (
+  SELECT *, sum(z) OVER () AS whole, coalesce(sum(z) OVER a, 0) AS zb, sum(w) OVER () - coalesce(sum(w) OVER a, 0) AS wr
+  FROM src WINDOW a AS (ORDER BY z / w, s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+capped AS (SELECT *, 3 * z * wr < (whole - 3 * zb) * w AS stop FROM cap),
+goal AS (
+  SELECT s, source, z, CASE WHEN stop THEN (3 * z)::DOUBLE
+      ELSE (max(whole) OVER () - 3 * coalesce(sum(z) FILTER (stop) OVER (), 0))::DOUBLE * w
+           / (sum(w) FILTER (NOT stop) OVER ())::DOUBLE END AS target,
+    greatest(ceil(z / 4096.0)::BIGINT, 1) AS nb FROM capped),
+plan AS (SELECT *, CASE WHEN z > 0 THEN least(floor(target + 0.5)::BIGINT, 3 * z) // z ELSE 0 END AS e,
+                CASE WHEN z > 0 THEN least(floor(target + 0.5)::BIGINT, 3 * z) % z ELSE 0 END AS rest FROM goal),
+unit AS (
+  SELECT *, md5('=17|=' || s || '|' || coalesce('=' || doc_id, '-') || '|=' || size || '|' || m || '|=' || cp) AS h FROM (
+    SELECT sized.*, s, z, target, e, rest, nb, row_number() OVER (PARTITION BY doc_id, s, size, m) AS cp
+    FROM sized JOIN plan ON sized.source IS NOT DISTINCT FROM plan.source)),
+cut AS (SELECT *, (('0x' || substr(h, 1, 8))::BIGINT * nb) >> 32 AS block FROM unit),
+blocks AS (
+  SELECT s, block, rest, sum(size)::BIGINT AS words, md5('=17|=' || s || '|=' || e || '|=' || block) AS bh
+  FROM cut WHERE size > 0 GROUP BY s, block, rest, e),
+given AS (
+  SELECT s, block, least(words, greatest(0, rest - coalesce(sum(words) OVER (
+    PARTITION BY s ORDER BY bh ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS given FROM blocks)
+SELECT doc_id, size, z AS source_size, target, (e * size + greatest(0, least(size, coalesce(given, 0) - coalesce(sum(size) OVER (
+    PARTITION BY s, block ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))))::BIGINT AS taken
+FROM cut LEFT JOIN given USING (s, block)
+""")
+def op13(spark, sf_dir):
+    return mixing.mix_documents(read(spark, sf_dir, "documents"))
