@@ -16,7 +16,7 @@ from ..sources import messages as M
 from ..sources.tables import read_table, trades
 from ..streaming import jobs as SJ
 from . import q_features as QF
-from . import stream_scorer
+from . import sql_forest, stream_scorer
 from .registry import ORACLES, register
 
 WINDOW = "1 day"
@@ -109,58 +109,121 @@ def q_stream_dedup(spark, sf):
                       F.round("buy_amount", 4).alias("buy_amount"), F.round("sell_amount", 4).alias("sell_amount"))
 
 
-@register("stream_scored")
+def _forest_input(spark, sf):
+    """Features, one row per (1-day window, trade id), standardised."""
+    d = FT.window_dedup(FT.extract_features(trades(spark, sf)), WINDOW)
+    return stream_scorer.forest_features(FT.window_zscore(d))
+
+
+_DEDUPED = QF._FEATURES_SQL.join(["WITH f0 AS (", ""]) + """),
+f AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY window_start, unique_id
+        ORDER BY protocol NULLS FIRST, block_unixtime NULLS FIRST, block_height NULLS FIRST, tx_hash NULLS FIRST,
+                 buy_currency NULLS FIRST, buy_address NULLS FIRST, buy_amount NULLS FIRST,
+                 sell_currency NULLS FIRST, sell_address NULLS FIRST, sell_amount NULLS FIRST) AS rn FROM f0) WHERE rn = 1)"""
+_Z_DEDUPED = QF._Z_SQL.split(",\nc AS", 1)[1]
+_ROUNDED = ", ".join(f"round(z_{c}, 9) AS f_{c}" for c in FT.X.STREAM_FEATURES)
+_FEATURE_COLS = ["f_" + c for c in FT.X.STREAM_FEATURES]
+
+
+def _scored_sql(least_rows: int = 1, closed: bool = False) -> str:
+    """Standardised rows ``z`` and their forest ``iso`` over the deduplicated
+    trades; windows under ``least_rows`` have no forest."""
+    kept = f"SELECT * FROM f0d WHERE cnt >= {least_rows}"
+    if closed:
+        kept += " AND window_start + 86400 <= (SELECT max(block_unixtime) FROM trades)"
+    deduped = _DEDUPED.replace("\nf AS (", "\nfd AS (")
+    return (deduped + ",\nf0d AS (SELECT *, count(*) OVER (PARTITION BY window_start) AS cnt FROM fd),\nf AS (" + kept + "),\nc AS"
+            + _Z_DEDUPED + f",\nzr AS (SELECT unique_id, window_start, {_ROUNDED} FROM z),"
+            + sql_forest.forest_sql("zr", _FEATURE_COLS))
+
+
+_REASON = ORACLES["anomaly_reason"].split("SELECT tx_hash, block_unixtime, buy_address,", 1)[1].split(" AS reason", 1)[0]
+
+
+def _trades_table_sql(closed: bool = False) -> str:
+    open_end = " WHERE window_start + 86400 <= (SELECT max(block_unixtime) FROM trades)" if closed else ""
+    return _scored_sql(stream_scorer.MIN_WINDOW_ROWS, closed) + f""",
+p AS (SELECT z.*, {QF._PRIMARY} AS pf, iso.is_anomaly, iso.decision FROM z JOIN iso USING (unique_id, window_start)),
+reasons AS (SELECT unique_id, window_start, round(decision, 6) + 0.0 AS anomaly_score, {_REASON} AS reason FROM p)
+SELECT fd.protocol, fd.block_unixtime, fd.block_height, fd.tx_hash, fd.buy_currency, fd.buy_address,
+       round(fd.buy_amount, 4) AS buy_amount, fd.sell_currency, fd.sell_address, round(fd.sell_amount, 4) AS sell_amount,
+       round(fd.trade_ratio, 6) AS trade_ratio, coalesce(r.anomaly_score, 0.0) AS anomaly_score,
+       coalesce(r.reason, 'Insufficient data for analysis') AS reason, false AS analyzed
+FROM fd LEFT JOIN reasons r USING (unique_id, window_start){open_end}"""
+
+
+def _table_columns(df):
+    return df.select("protocol", "block_unixtime", "block_height", "tx_hash", "buy_currency", "buy_address",
+                     F.round("buy_amount", 4).alias("buy_amount"), "sell_currency", "sell_address",
+                     F.round("sell_amount", 4).alias("sell_amount"), F.round("trade_ratio", 6).alias("trade_ratio"),
+                     (F.round("anomaly_score", 6) + F.lit(0.0)).alias("anomaly_score"), "reason", "analyzed")
+
+
+@register("stream_scored", _trades_table_sql(closed=True))
 def q_stream_scored(spark, sf):
-    """End-to-end streaming scorer (rows only: forest scores)."""
-    return SJ.score_stream(_message_stream(spark, sf), WINDOW)
+    """End-to-end streaming scorer: the closed windows in the trades-table layout."""
+    return _table_columns(SJ.score_stream(_message_stream(spark, sf), WINDOW))
 
 
-@register("isolation_forest")
+@register("isolation_forest", _scored_sql() + """
+SELECT unique_id, window_start, round(iso_score, 6) AS iso_score, round(decision, 6) + 0.0 AS decision, is_anomaly FROM iso""")
 def q_isolation_forest(spark, sf):
     """Batch form: features -> dedup per 1-day window -> z-scores -> forest
-    per window (rows only)."""
-    d = FT.window_dedup(FT.extract_features(trades(spark, sf)), WINDOW)
-    z = FT.window_zscore(d)
-    s = IF.isolation_forest(z, ["z_" + c for c in FT.X.STREAM_FEATURES], uid="unique_id")
-    return s.select("unique_id", "window_start", "iso_score", "decision", "is_anomaly")
+    per window."""
+    z, cols = _forest_input(spark, sf)
+    s = IF.isolation_forest(z, cols, uid="unique_id")
+    return s.select("unique_id", "window_start", F.round("iso_score", 6).alias("iso_score"),
+                    (F.round("decision", 6) + F.lit(0.0)).alias("decision"), "is_anomaly")
 
 
-@register("score_windows")
+@register("score_windows", _trades_table_sql())
 def q_score_windows(spark, sf):
     """Batch window scorer over the whole trades view: gate + forest +
-    reason, in the trades-table layout (rows only)."""
+    reason, in the trades-table layout."""
     d = FT.window_dedup(FT.extract_features(trades(spark, sf)), WINDOW)
-    return stream_scorer.to_trades_table(stream_scorer.score_windows(d))
+    return _table_columns(stream_scorer.to_trades_table(stream_scorer.score_windows(d)))
 
 
-@register("window_anomaly_counts", f"""
-WITH f AS ({QF._FEATURES_SQL}),
-d AS (SELECT DISTINCT window_start, unique_id FROM f),
-w AS (SELECT window_start, count(*) AS window_rows FROM d GROUP BY window_start)
-SELECT window_start, window_rows, true AS scores_in_range, true AS cut_holds FROM w""")
+@register("window_anomaly_counts", _scored_sql() + """
+SELECT window_start, count(*) AS window_rows, count(*) FILTER (is_anomaly) AS anomalies,
+       round(min(decision), 6) + 0.0 AS lowest FROM iso GROUP BY window_start""")
 def q_window_anomaly_counts(spark, sf):
-    """Rows and anomalies per window after the forest: every score lies in
-    (0, 1] and no more rows are anomalous than the contamination allows."""
-    d = FT.window_dedup(FT.extract_features(trades(spark, sf)), WINDOW)
-    s = IF.isolation_forest(FT.window_zscore(d), ["z_" + c for c in FT.X.STREAM_FEATURES], uid="unique_id").checkpoint()
-    ranges = s.groupBy("window_start").agg(F.bool_and((F.col("iso_score") > 0) & (F.col("iso_score") <= 1))
-                                           .alias("scores_in_range"))
-    allowed = F.floor(F.lit(IF.CONTAMINATION) * (F.col("window_rows") - 1)) + 1
-    return IF.anomaly_counts(s).join(ranges, "window_start") \
-        .select("window_start", "window_rows", "scores_in_range", (F.col("anomalies") <= allowed).alias("cut_holds"))
-
-
-@register("score_windows_outcome", f"""
-WITH f AS ({QF._FEATURES_SQL}),
-d AS (SELECT DISTINCT window_start, unique_id FROM f),
-w AS (SELECT *, count(*) OVER (PARTITION BY window_start) AS window_rows FROM d)
-SELECT unique_id, window_start, window_rows < 10 AS insufficient, true AS reason_fits FROM w""")
+    """Rows, anomalies and lowest decision per window. The forest runs in its
+    split plan wherever a window has more than 16 rows."""
+    z, cols = _forest_input(spark, sf)
+    s = IF.isolation_forest(z, cols, uid="unique_id", chunk_rows=16).checkpoint()
+    lowest = s.groupBy("window_start").agg((F.round(F.min("decision"), 6) + F.lit(0.0)).alias("lowest"))
+    return IF.anomaly_counts(s).join(lowest, "window_start").select("window_start", "window_rows", "anomalies", "lowest")
+
+
+@register("score_windows_outcome", _scored_sql(stream_scorer.MIN_WINDOW_ROWS) + """
+SELECT fd.unique_id, fd.window_start, iso.unique_id IS NULL AS insufficient, coalesce(iso.is_anomaly, false) AS anomalous
+FROM fd LEFT JOIN iso USING (unique_id, window_start)""")
 def q_score_windows_outcome(spark, sf):
-    """Gate and reason of every scored trade: gated ones score 0 with the fixed
-    reason, the others have a reason that fits the sign of their score."""
+    """Gate and outcome of every scored trade, read from its score and reason:
+    gated ones score 0 with the fixed reason, anomalous ones have a reason of
+    their own and a score below 0."""
     d = FT.window_dedup(FT.extract_features(trades(spark, sf)), WINDOW)
     s = stream_scorer.score_windows(d)
-    gated = F.col("reason") == FT.X.REASON_INSUFFICIENT
-    normal = F.col("reason") == FT.X.REASON_NO_ANOMALY
-    fits = F.when(gated, F.col("anomaly_score") == 0).otherwise(normal == (F.col("anomaly_score") >= 0))
-    return s.select("unique_id", "window_start", gated.alias("insufficient"), fits.alias("reason_fits"))
+    gated = (F.col("reason") == FT.X.REASON_INSUFFICIENT) & (F.col("anomaly_score") == 0)
+    anomalous = (F.col("reason") != FT.X.REASON_NO_ANOMALY) & (F.col("anomaly_score") < 0)
+    return s.select("unique_id", "window_start", gated.alias("insufficient"), anomalous.alias("anomalous"))
+
+
+_RAW = ["buy_amount", "sell_amount", "log_amount"]
+
+
+@register("forest_errors", _DEDUPED + """,
+bad AS (SELECT DISTINCT window_start FROM f WHERE buy_amount <= 0)
+SELECT unique_id, f.window_start, bad.window_start IS NOT NULL AS failed,
+       CASE WHEN bad.window_start IS NOT NULL THEN 0.0 END AS failed_score FROM f LEFT JOIN bad ON bad.window_start = f.window_start""")
+def q_forest_errors(spark, sf):
+    """The error path: on amounts that were not cleaned (the logarithm of an
+    amount of 0 is missing) a window with such a trade fails and keeps all its
+    trades with the error and decision 0; the others are scored. Windows of over
+    24 rows are split, so both plans fail."""
+    d = FT.window_dedup(FT.extract_features(trades(spark, sf)), WINDOW)
+    raw = d.withColumn("log_amount", F.when(F.col("buy_amount") > 0, F.log("buy_amount")))
+    s = IF.isolation_forest(raw, _RAW, uid="unique_id", trees=10, chunk_rows=24)
+    failed = F.col("error").isNotNull()
+    return s.select("unique_id", "window_start", failed.alias("failed"), F.when(failed, F.col("decision")).alias("failed_score"))
