@@ -82,6 +82,35 @@ def simhash_brute(rows, words=3, radius=3):
     return Counter((d, f"{fps[i]:016x}", least.get(root(i))) for i, (d, _) in enumerate(rows))
 
 
+def dedup_brute(rows, words=3, radius=3):
+    """Rows that stay: fingerprints within the radius and sketches that agree."""
+    fps = [int(f, 16) for _, f, _ in (next(iter(simhash_brute([r], words))) for r in rows)]
+    bins = []
+    for _, t in rows:
+        w = (t or "").encode().lower().split()
+        grams = [b" ".join(w[i:i + words]) for i in range(max(1, len(w) - words + 1))] if w else []
+        low = {}
+        for h in (xxhash.xxh64_intdigest(g, seed=42) for g in grams):
+            low[h & 255] = min(h, low.get(h & 255, h))
+        bins.append({k: h >> 8 & 1 for k, h in low.items()})
+    comp = list(range(len(rows)))
+    f = np.array(fps, dtype=np.uint64)
+    def root(i):
+        while comp[i] != i:
+            i = comp[i]
+        return i
+    for i in range(len(rows)):
+        for j in np.flatnonzero(np.bitwise_count(f ^ f[i]) <= radius):
+            a, b = bins[i], bins[int(j)]
+            if sum(a.get(k) != b.get(k) for k in a.keys() | b.keys()) <= (1 - simhash.AGREE) * len(a.keys() | b.keys()):
+                comp[root(int(j))] = root(i)
+    best = {}
+    for i, (d, t) in enumerate(rows):
+        mine = (d is None, d or 0, t or "")
+        best[root(i)] = min(best.get(root(i), mine), mine)
+    return sorted((d, t) for _, d, t in best.values())
+
+
 def test_simhash_query(spark, docs):
     got = Counter(tuple(r) for r in E.queries()["op7_simhash"](spark, SF001).collect())
     assert got == simhash_brute(docs)
@@ -92,8 +121,40 @@ def test_simhash_odd_rows_and_small_tiles(spark, odd):
     got = Counter((r["doc_id"], f"{r['fp'] & (1 << 64) - 1:016x}", r["component_id"]) for r in g.collect())
     assert got == simhash_brute([(r[0], r[1]) for r in ROWS])
     assert simhash.simhash_groups(odd.limit(0)).count() == 0
-    kept = sorted(r["doc_id"] for r in simhash.simhash_dedup(odd).collect() if r["doc_id"] is not None)
-    assert len(kept) == len(set(kept)) + 1 and kept.count(3) == 2      # a repeated id stays together
+    left = simhash.simhash_dedup(odd)
+    assert left.columns == odd.columns and simhash.simhash_dedup(odd.limit(0)).count() == 0
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in left.collect()) == \
+        [(d or 0, t) for d, t in dedup_brute([(r[0], r[1]) for r in ROWS])]
+
+
+def test_simhash_dedup_keeps_texts_that_share_no_passage(spark, monkeypatch):
+    # two kinds of word in every place: each shingle is one of eight, so all fingerprints tend to one
+    rnd = np.random.default_rng(9)
+    rows = [(i, " ".join(rnd.choice(["to", "be"], 3000))) for i in range(25)]
+    phrase = " ".join(f"w{i}" for i in range(400))
+    rows += [(100 + i, phrase + f" {i}" * (i % 3)) for i in range(9)] + [(7, phrase), (100, "an id with two texts"), (200, phrase)]
+    monkeypatch.setattr(simhash, "TILE", 8)
+    df = spark.createDataFrame([(d, t, "sketch", 1, 2) for d, t in rows], "doc_id long, text string, sketch string, fp int, n int")
+    got = sorted((r["doc_id"], r["text"]) for r in simhash.simhash_dedup(df).collect())
+    want = dedup_brute(rows)
+    assert got == want
+    # the large group of the phrase leaves its smallest id, a repeated id keeps its other text
+    assert (7, phrase) in got and (100, "an id with two texts") in got and not any(d in (101, 103, 200) for d, _ in got)
+
+
+@pytest.mark.parametrize("same,agree", [(1.0, True), (0.9, True), (0.4, False), (0.0, False)])
+def test_sketches_follow_the_similarity(same, agree):
+    rng = np.random.default_rng(2)
+    shared, own = int(800 * 2 * same / (1 + same)), 800
+    common = rng.integers(0, 1 << 63, shared, dtype=np.uint64)
+    pair = [np.concatenate([common, rng.integers(0, 1 << 63, own - shared, dtype=np.uint64)]) for _ in range(2)]
+    a, b = (np.frombuffer(simhash.sketch(h), "<u8").reshape(1, 8) for h in pair)
+    assert simhash.alike(a, b)[0] == agree
+
+
+def test_simhash_dedup_on_the_documents(spark, docs):
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(tuple(r) for r in simhash.simhash_dedup(df).collect()) == dedup_brute(docs)
 
 
 @pytest.mark.parametrize("tile", [3, 4096])

@@ -7,7 +7,7 @@ from ledgerlens.llm import queries, toxicity
 from ledgerlens.llm.common import read, shared_table
 from tests.conftest import SF001
 from tests.llm.test_decontam import brute as contaminated_brute
-from tests.llm.test_exact_ops import check_packing, ids_of, lines_brute, simhash_brute
+from tests.llm.test_exact_ops import check_packing, dedup_brute, ids_of, lines_brute
 
 
 def test_each_stage_on_its_own_input(spark):
@@ -28,7 +28,7 @@ def test_each_stage_on_its_own_input(spark):
 
     rows = [(r["doc_id"], r["text"]) for r in lined.collect()]
     single = shared_table(cp.drop_near_copies(spark, lined, SF001), "t3")
-    assert sorted(r["doc_id"] for r in single.collect()) == sorted(d for d, _, c in simhash_brute(rows) if d == c)
+    assert sorted(r["doc_id"] for r in single.collect()) == sorted(d for d, _ in dedup_brute(rows))
 
     rows = [(r["doc_id"], r["text"]) for r in single.collect()]
     items = [tuple(r) for r in read(spark, SF001, "benchmark").select("item_id", "text").collect()]
