@@ -66,11 +66,11 @@ bf AS (SELECT *, {code.format("")} AS c FROM bi UNION ALL SELECT *, {code.format
 bk AS (SELECT DISTINCT item_id, need, w, ofs, win FROM (
     SELECT *, c[ofs + 1:ofs + w] AS win FROM (SELECT *, unnest(range(0, len(c) - w + 1)) AS ofs FROM bf))
   WHERE len(list_filter(win, lambda x: x NOT IN {slots})) >= 5),
-ws AS (SELECT DISTINCT w, need - w + 1 AS stride FROM bk),
+ws AS (SELECT DISTINCT w FROM bk),
 dc AS (SELECT doc_id, tok, {code.format("")} AS p, {code.format(name)} AS n FROM d),
 bc AS (SELECT item_id, tok, need, {code.format("")} AS p, {code.format(name)} AS n FROM bi),
 dw AS (SELECT doc_id, w, pos, c[pos + 1:pos + w] AS win
-  FROM (SELECT dx.*, ws.w, unnest(range(0, greatest(0, len(c) - ws.w + 1), ws.stride)) AS pos
+  FROM (SELECT dx.*, ws.w, unnest(range(0, greatest(0, len(c) - ws.w + 1))) AS pos
         FROM (SELECT doc_id, p AS c FROM dc UNION ALL SELECT doc_id, n FROM dc) dx, ws)),
 l AS (SELECT DISTINCT doc_id, item_id, pos - ofs AS shift FROM dw JOIN bk USING (w, win)),
 t AS (SELECT doc_id, item_id, shift, bc.need, i, coalesce(bc.p[i + 1] = dc.p[j + 1] OR (bc.n[i + 1] = '<name>' AND dc.n[j + 1] = '<name>'), false) AS ok,
@@ -83,9 +83,22 @@ u AS (SELECT doc_id, item_id, shift, island, count(*) AS k, min(i) AS lo, any_va
     coalesce(bool_or(a <> z) FILTER (slot), false) AS changed,
     count(DISTINCT (a, z)) FILTER (slot) AS nb, count(DISTINCT a) FILTER (slot) AS na, count(DISTINCT z) FILTER (slot) AS nz
   FROM g GROUP BY doc_id, item_id, shift, island),
-r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY k DESC, lo) AS rn FROM u)
-SELECT doc_id, item_id, max(k)::BIGINT AS n_tokens, bool_and(changed) AS changed
-FROM r WHERE rn = 1 AND k >= need AND nb = na AND nb = nz GROUP BY doc_id, item_id
+r AS (SELECT *, nb = na AND nb = nz AS fits FROM u
+  QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY k DESC, lo) = 1 AND k >= need),
+q AS (SELECT g.*, min(i) OVER p AS lo, max(i) OVER p AS hi FROM g SEMI JOIN (SELECT * FROM r WHERE NOT fits) c USING (doc_id, item_id, shift)
+  WINDOW p AS (PARTITION BY doc_id, item_id, shift, island)),
+x AS (SELECT y.doc_id, y.item_id, y.shift, y.i, max(v.i) + 1 AS after FROM q y JOIN q v USING (doc_id, item_id, shift, island)
+  WHERE y.slot AND v.slot AND v.i < y.i AND (v.a = y.a) <> (v.z = y.z) GROUP BY ALL),
+e AS (SELECT q.*, i + 1 - greatest(lo, coalesce(max(after) OVER p, 0)) AS part, greatest(lo, coalesce(max(after) OVER p, 0)) = lo AS whole,
+    i + 1 - greatest(lo, max(CASE WHEN slot AND a <> z THEN i + 1 ELSE 0 END) OVER p) AS same
+  FROM q LEFT JOIN x USING (doc_id, item_id, shift, i) WINDOW p AS (PARTITION BY doc_id, item_id, shift, island ORDER BY i)),
+w AS (SELECT *, CASE WHEN part >= 24 OR (i = hi AND whole AND part >= need) THEN part WHEN same >= 13 THEN same ELSE 0 END AS size FROM e),
+b1 AS (SELECT doc_id, item_id, shift, i + 1 AS upto, size FROM w WHERE size > 0
+  QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY size DESC, i) = 1),
+parts AS (SELECT doc_id, item_id, shift, k, changed FROM r WHERE fits
+  UNION ALL SELECT b1.doc_id, b1.item_id, b1.shift, size, coalesce(bool_or(a <> z) FILTER (slot), false)
+  FROM b1 JOIN q USING (doc_id, item_id, shift) WHERE q.i < upto AND q.i >= upto - size GROUP BY b1.doc_id, b1.item_id, b1.shift, size)
+SELECT doc_id, item_id, max(k)::BIGINT AS n_tokens, bool_and(changed) AS changed FROM parts GROUP BY doc_id, item_id
 """
 
 

@@ -43,29 +43,63 @@ def brute(docs, items, run=12, least=5):
             at = defaultdict(set)
             for c, d2 in ((p, dp), (n, dn)):
                 where = defaultdict(list)
-                for k in range(0, len(dt) - w + 1, need - w + 1):
+                for k in range(len(dt) - w + 1):
                     where[tuple(d2[k:k + w])].append(k)
                 for k in range(len(it) - w + 1):
                     if tuple(c[k:k + w]) in keys:
                         for q in where[tuple(c[k:k + w])]:
                             at[q - k].add(k)
             for shift in at:
-                best, now, end = 0, 0, 0
-                for i in range(len(it)):
-                    j = i + shift
-                    ok = 0 <= j < len(dt) and (p[i] == dp[j] or n[i] == dn[j] == "<name>")
-                    now = now + 1 if ok else 0
-                    if now > best:
-                        best, end = now, i + 1
-                if best < need:
-                    continue
-                pairs = {(it[i].lower(), dt[i + shift].lower()) for i in range(end - best, end) if n[i][0] == "<"}
-                if len({x for x, _ in pairs}) == len({y for _, y in pairs}) == len(pairs):
+                ok = [0 <= i + shift < len(dt) and (p[i] == dp[i + shift] or n[i] == dn[i + shift] == "<name>") for i in range(len(it))]
+                value = lambda i: (it[i].lower(), dt[i + shift].lower()) if n[i][0] == "<" else None
+                size, end = part(ok, value, need, run)
+                if size:
                     old = out.get((doc, item), (0, True))
-                    out[doc, item] = (max(old[0], best), old[1] and any(x != y for x, y in pairs))
+                    differ = any(v and v[0] != v[1] for v in map(value, range(end - size, end)))
+                    out[doc, item] = (max(old[0], size), old[1] and differ)
     return out
 
 
+def part(ok, value, need, run):
+    """(size, end) of what counts at one shift: the longest stretch that agrees, if
+    its values map one to one, else the longest consistent part."""
+    stretches, start = [], None
+    for i, x in enumerate([*ok, False]):
+        if x and start is None:
+            start = i
+        elif not x and start is not None:
+            stretches.append((start, i))
+            start = None
+
+    def one_to_one(a, b):
+        pairs = {value(i) for i in range(a, b)} - {None}
+        return len({x for x, _ in pairs}) == len({y for _, y in pairs}) == len(pairs)
+    a, b = max(stretches, key=lambda s: (s[1] - s[0], -s[0]), default=(0, 0))
+    if b - a < need:
+        return 0, 0
+    if one_to_one(a, b):
+        return b - a, b
+    best = (0, 0)
+    for lo, hi in stretches:
+        for a in range(lo, hi):
+            for b in range(a + 1, hi + 1):
+                same = all(v is None or v[0] == v[1] for v in map(value, range(a, b)))
+                enough = b - a >= 2 * run or (a, b) == (lo, hi) and b - a >= need
+                if (enough and one_to_one(a, b)) or (same and b - a >= run + 1):
+                    best = max(best, (b - a, -b))
+    return best[0], -best[1]
+
+
+def oracle(docs, items):
+    """The registered SQL on small tables."""
+    import duckdb
+    import pandas as pd
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(docs, columns=["doc_id", "text"]))
+    con.register("benchmark", pd.DataFrame(items, columns=["item_id", "text"]))
+    return {(r[0], r[1]): (r[2], r[3]) for r in con.execute(E.oracle_sql()["op3_decontamination"]).fetchall()}
+
+
 def found(df):
     return {(r["doc_id"], r["item_id"]): (r["n_tokens"], r["changed"]) for r in df.collect()}
 
@@ -121,6 +155,7 @@ def test_short_and_number_rich_passages_at_every_offset(spark):
     got = found(d.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
                                spark.createDataFrame(items, "item_id long, text string")))
     assert set(got) == {(100 * k + n, k) for k, _ in items for n in range(4)}
+    assert got == brute(docs, items) == oracle(docs, items)
 
 
 def test_a_conflicting_value_does_not_void_a_long_copy(spark):
@@ -133,3 +168,20 @@ def test_a_conflicting_value_does_not_void_a_long_copy(spark):
     got = found(d.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
                                spark.createDataFrame([(1, item)], "item_id long, text string")))
     assert got == {(1, 1): (42, True), (2, 1): (16, False), (4, 1): (15, False)}
+    assert got == brute(docs, [(1, item)]) == oracle(docs, [(1, item)])
+
+
+def test_conflicts_in_every_place(spark):
+    words = [f"{a}{b}{c}" for a in ("ka", "lo", "mi") for b in ("ra", "se", "ti") for c in ("na", "bo", "ku")]
+    item = " ".join(f"{w} {i % 4}" if i % 3 == 0 else w for i, w in enumerate(words))
+    tokens = item.split()
+    docs = [(0, "filler " * 300 + item + " filler" * 10)]
+    for i, t in enumerate(tokens):
+        if t.isdigit():
+            docs.append((i, " ".join([*tokens[:i], "9", *tokens[i + 1:]])))
+            docs.append((1000 + i, " ".join([*tokens[max(0, i - 13):i], "9", *tokens[i + 1:i + 14]])))
+            docs.append((2000 + i, " ".join(["77" if x == t else x for x in tokens])))
+    got = found(d.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                               spark.createDataFrame([(1, item)], "item_id long, text string")))
+    assert got == brute(docs, [(1, item)]) == oracle(docs, [(1, item)])
+    assert got[0, 1] == (len(tokens), False) and len({v for v in got.values()}) > 6
