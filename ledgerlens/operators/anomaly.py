@@ -3,7 +3,9 @@ K-means distance outliers, small clusters and volume-ratio outliers."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -17,9 +19,8 @@ MAX_K = 20                  # k = min(20, n / 5)
 SMALL_CLUSTER = 10          # clusters below this size are anomalous
 MAX_OUTLIERS = 500          # farthest addresses from their centroid
 KMEANS_SEED = 1
+KMEANS_ROUNDS = 20
 HIGH_RATIO, LOW_RATIO, MIN_TX = 10.0, 0.1, 5
-# rows a task of the clustering passes handles
-ROWS_PER_PART = 50_000
 
 
 def address_metrics(vertices: DataFrame, edges: DataFrame, transfers: DataFrame, ranks: DataFrame,
@@ -122,20 +123,20 @@ def zscore(metrics: DataFrame, cols=tuple(METRIC_FEATURES), prefix: str = "s_",
 
 
 def kmeans_clusters(metrics: DataFrame, cols=tuple(METRIC_FEATURES), max_k: int = MAX_K,
-                    min_rows: int = MIN_ADDRESSES, seed: int = KMEANS_SEED):
-    """K-means (Spark ML, k-means||) over the standardised metrics with
-    k = min(max_k, n / 5). Returns ``(clustered, centers)`` where clustered
-    has ``prediction`` and ``distance_to_centroid``, or ``(None, [])`` when
-    there are fewer than ``min_rows`` addresses.
-
-    The distance is a native expression against the k centres as an array
-    literal (k <= max_k, so its size is bounded)."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    # statistics, k-means|| init, the iterations and the assignment all read
-    # the metrics: materialise them once (reliable checkpoint, survives
-    # executor loss) instead of recomputing the graph for every pass
+                    min_rows: int = MIN_ADDRESSES, seed: int = KMEANS_SEED, rounds: int = KMEANS_ROUNDS):
+    """K-means over the standardised metrics with k = min(max_k, n / 5).
+    Returns ``(clustered, centers)`` where clustered has ``prediction`` and
+    ``distance_to_centroid``, or ``(None, [])`` when there are fewer than
+    ``min_rows`` addresses.
+
+    Lloyd's rounds, a fixed number of them, from the k addresses with the
+    smallest MD5 of "seed|id": the result is a function of the table that does
+    not depend on partitions. A round is one partial aggregation whose k rows of
+    means come to the driver and go back as literals; means are kept to 9
+    decimals (what is below is the order of the sums), and a centre without
+    members stays where it is. Features are the z-scores to 9 decimals."""
+    # the statistics and every round read the metrics: materialise them once
+    # (reliable checkpoint, survives executor loss)
     checkpoint_dir(metrics.sparkSession)
     metrics = metrics.checkpoint()
     st = column_stats(metrics, cols)          # one pass gives n and the scaler
@@ -143,35 +144,38 @@ def kmeans_clusters(metrics: DataFrame, cols=tuple(METRIC_FEATURES), max_k: int
     if n < min_rows:
         return None, []
     k = max(2, min(max_k, int(n / 5)))
-    z = zscore(metrics, cols, stats=st)
-    feats = F.array(*[F.col("s_" + c) for c in cols])
-    data = z.withColumn("scaled", feats).withColumn("features", array_to_vector("scaled"))
-    # the same rows in the same partitions each time, without a global sort
-    placed = data.repartition(max(1, -(-n // ROWS_PER_PART)), "id").sortWithinPartitions("id")
-    model = KMeans(k=k, seed=seed, featuresCol="features").fit(placed)
-    centers = [[float(x) for x in c] for c in model.clusterCenters()]
-    clustered = model.transform(data).withColumn("prediction", F.col("prediction").cast("long"))
-    return clustered.withColumn("distance_to_centroid", _centre_distance(centers, F.col("prediction"))), centers
-
-
-def _centre_distance(centers, prediction):
-    """Euclidean distance of ``scaled`` to its centre; the k <= MAX_K centres
-    are a literal."""
-    centre = F.element_at(F.array(*[F.array(*[F.lit(x) for x in c]) for c in centers]), (prediction + 1).cast("int"))
-    return F.sqrt(F.aggregate(F.zip_with("scaled", centre, lambda a, b: (a - b) * (a - b)), F.lit(0.0),
-                              lambda acc, x: acc + x))
+    data = zscore(metrics, cols, stats=st).withColumn("scaled", F.array(*[F.round("s_" + c, 9) for c in cols]))
+    starts = data.select("id", "scaled", F.md5(F.concat(F.lit(f"{seed}|"), F.col("id").cast("string")).cast("binary")).alias("h")) \
+        .orderBy("h", "id").limit(k)
+    centers = [list(r["scaled"]) for r in starts.collect()]
+    for _ in range(rounds):
+        near = _nearest(data, centers).groupBy("prediction").agg(
+            *[F.round(F.avg(F.col("scaled")[i]), 9).alias(f"c{i}") for i in range(len(cols))])
+        moved = list(centers)
+        for r in near.collect():               # k rows
+            moved[r["prediction"]] = [r[f"c{i}"] for i in range(len(cols))]
+        if moved == centers:                   # no later round would change anything
+            break
+        centers = moved
+    return _nearest(data, centers), centers
+
+
+def _nearest(data: DataFrame, centers) -> DataFrame:
+    def distance(c: Column) -> Column:
+        squares = [(F.col("scaled")[i] - c[i]) * (F.col("scaled")[i] - c[i]) for i in range(len(centers[0]))]
+        return F.sqrt(reduce(lambda a, b: a + b, squares))
+    # the centres are one literal, so that the plan, and its compiled code, is the same in every round
+    table = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centers])
+    near = F.array_min(F.transform(table, lambda c, i: F.struct(distance(c).alias("d"), i.cast("long").alias("i"))))
+    return data.withColumn("_near", near).withColumn("prediction", F.col("_near.i")) \
+        .withColumn("distance_to_centroid", F.col("_near.d")).drop("_near")
 
 
 def assign_centres(metrics: DataFrame, centers, cols=tuple(METRIC_FEATURES)) -> DataFrame:
     """``prediction`` (nearest of the given standardised ``centers``, ties to the
     first) and ``distance_to_centroid`` of every address: the assignment step
     with the centres as a parameter."""
-    data = zscore(metrics, cols).withColumn("scaled", F.array(*[F.col("s_" + c) for c in cols]))
-    far = [F.struct(_centre_distance(centers, F.lit(i)).alias("d"), F.lit(i).cast("long").alias("i"))
-           for i in range(len(centers))]
-    near = F.least(*far) if len(far) > 1 else far[0]
-    return data.withColumn("_near", near).withColumn("prediction", F.col("_near.i")) \
-        .withColumn("distance_to_centroid", F.col("_near.d")).drop("_near")
+    return _nearest(zscore(metrics, cols).withColumn("scaled", F.array(*[F.col("s_" + c) for c in cols])), centers)
 
 
 def small_clusters(clustered: DataFrame, small: int = SMALL_CLUSTER) -> DataFrame:

@@ -145,18 +145,32 @@ def q_conform_trades(spark, sf):
                     "anomaly_score", "reason", "analyzed")
 
 
-@register("run_summary")
+_RUN_SQL = QG._CC_SQL + ",\n" + QG.pagerank_sql("ed", "ids") + "," + QG._metrics_sql("ed") + "," + QG.kmeans_sql("m") + f""",
+vr AS (SELECT *, CASE WHEN received_volume > 0 THEN sent_volume / received_volume ELSE 0.0 END AS volume_ratio FROM m)
+SELECT (SELECT count(*) FROM vx) AS vertices, (SELECT count(*) FROM ed) AS edges,
+       (SELECT count(DISTINCT component) FROM cc) AS communities,
+       (SELECT max(n) FROM (SELECT count(*) AS n FROM cc GROUP BY component)) AS largest_community,
+       (SELECT id FROM pr ORDER BY round(pagerank, 6) DESC, id LIMIT 1) AS top_address,
+       (SELECT count(*) FROM cl WHERE id IN {QG._FAR} OR prediction IN {QG._FEW})
+       + (SELECT count(*) FROM vr WHERE volume_ratio > 10 AND sent_volume > 0 AND transactions_sent > 5)
+       + (SELECT count(*) FROM vr WHERE volume_ratio < 0.1 AND received_volume > 0 AND transactions_received > 5) AS anomalies"""
+
+
+@register("run_summary", _RUN_SQL)
 def q_run_summary(spark, sf):
     """One-row summary of a graph run: sizes, communities, top address, and
-    anomalies (cluster + both ratio tables). Scalar subqueries, no joins."""
+    anomalies (cluster + both ratio tables). Scalar subqueries, no joins; the
+    metrics are written once for the fit and the ratio tables."""
     t = trades(spark, sf)
     v, e, ranks, m = A.graph_metrics(t)
-    comps = G.connected_components(v, e)
-    sizes = G.community_sizes(comps, None)
+    m = m.checkpoint()
+    sizes = G.community_sizes(G.connected_components(v, e), None)
     clustered, _ = A.kmeans_clusters(m)
-    n_cluster = (A.cluster_anomalies(clustered).select(F.count(F.lit(1))).scalar()
-                 if clustered is not None else F.lit(0).cast("long"))
-    top = G.important_addresses(v, ranks, 1)
+    n_cluster = F.lit(0).cast("long")
+    if clustered is not None:
+        far = A.cluster_anomalies(clustered.withColumn("distance_to_centroid", F.round("distance_to_centroid", 6)))
+        n_cluster = far.select(F.count(F.lit(1))).scalar()
+    top = G.important_addresses(v, ranks.withColumn("pagerank", F.round("pagerank", 6)), 1)
     return spark.range(1).select(
         v.select(F.count(F.lit(1))).scalar().alias("vertices"),
         e.select(F.count(F.lit(1))).scalar().alias("edges"),

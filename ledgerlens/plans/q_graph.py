@@ -166,6 +166,23 @@ def q_community_members(spark, sf):
     return m.select("id", "component", "symbol", "total_transactions", _r4("total_volume"))
 
 
+# The trades of one month: a sparse slice that falls into some 30 components.
+_SLICE = "detection_time >= TIMESTAMP '1999-01-01 00:00:00' AND detection_time < TIMESTAMP '1999-02-01 00:00:00'"
+_SLICE_SQL = "WITH RECURSIVE st AS (SELECT * FROM trades WHERE " + _SLICE + "),\n" + \
+    (_VERTICES + ",\n" + _E_DISTINCT + ",\n" + _IDS).replace("FROM trades", "FROM st") + ",\n" + _COMPONENTS
+
+
+@register("component_sizes_sparse", _SLICE_SQL + """,
+n AS (SELECT component, count(*) AS members FROM cc GROUP BY component)
+SELECT component, members, count(*) OVER () AS components FROM n""")
+def q_component_sizes_sparse(spark, sf):
+    """Components of a sparse slice of the graph with their sizes."""
+    t = trades(spark, sf).where(F.expr(_SLICE))
+    sizes = G.community_sizes(G.connected_components(G.build_vertices(t), G.build_edges(t)), None)
+    total = sizes.select(F.count(F.lit(1))).scalar()
+    return sizes.select("component", F.col("count").alias("members"), total.alias("components"))
+
+
 # ------------------------------------------------------------------ metrics
 _METRIC_COLS = ["id", "total_buy_volume", "buy_transactions", "total_sell_volume", "sell_transactions", "symbol",
                 "total_transactions", "total_volume", "inDegree", "outDegree", "pagerank", "sent_volume",
@@ -277,32 +294,58 @@ def q_transfer_ratio_low(spark, sf):
     return _ratio_spark(A.volume_ratio_low(_metrics(spark, sf, True), min_tx=None))
 
 
-# ------------------------------------------------------------------ K-means (rows only)
-_CLUSTER_OUT = ["id", "prediction", "distance_to_centroid", "inDegree", "outDegree", "pagerank", "sent_volume",
-                "received_volume", "transactions_sent", "transactions_received"]
+# ------------------------------------------------------------------ K-means
+_CLUSTER_OUT = ["id", "prediction", "distance_to_centroid", "inDegree", "outDegree", "transactions_sent", "transactions_received"]
+
+
+def kmeans_sql(metrics: str, rounds: int = A.KMEANS_ROUNDS) -> str:
+    """CTE chain that ends in ``cl(id, prediction, d)``: the rounds unrolled."""
+    xs = [f"x{i}" for i in range(len(_Z_COLS))]
+    near = f"sqrt({' + '.join(f'(p.{x} - c.{x}) * (p.{x} - c.{x})' for x in xs)})"
+    parts = [f"""
+kz AS MATERIALIZED (SELECT id, {', '.join(
+        f"round(CASE WHEN coalesce(stddev_samp({c}) OVER (), 0) = 0 THEN 0.0 ELSE ({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () END, 9)"
+        f" AS {x}" for c, x in zip(_Z_COLS, xs))} FROM {metrics}),
+kc0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, id) - 1 AS i, {', '.join(xs)} FROM (SELECT *, md5('{A.KMEANS_SEED}|' || id) AS h FROM kz)
+  QUALIFY i < greatest(2, least({A.MAX_K}, (SELECT count(*) FROM kz) // 5)))"""]
+    for r in range(rounds):
+        parts.append(f"""
+ka{r} AS MATERIALIZED (SELECT p.id, arg_min(c.i, struct_pack(d := {near}, i := c.i)) AS i FROM kz p, kc{r} c GROUP BY p.id),
+kc{r + 1} AS MATERIALIZED (SELECT c.i, {', '.join(f'coalesce(n.{x}, c.{x}) AS {x}' for x in xs)} FROM kc{r} c LEFT JOIN
+  (SELECT i, {', '.join(f'round(avg({x}), 9) AS {x}' for x in xs)} FROM ka{r} JOIN kz USING (id) GROUP BY i) n ON n.i = c.i)""")
+    parts.append(f"""
+cl AS MATERIALIZED (SELECT p.id, arg_min(c.i, struct_pack(d := {near}, i := c.i))::BIGINT AS prediction, round(min({near}), 6) AS d
+  FROM kz p, kc{rounds} c GROUP BY p.id)""")
+    return ",".join(parts)
+
+
+_KM_SQL = _M_SQL + "," + kmeans_sql("m")
+_KM_OUT = ", ".join(["cl.id", "prediction", "d AS distance_to_centroid", *[f"m.{c}" for c in _CLUSTER_OUT[3:]]])
+_FAR = "(SELECT id FROM cl ORDER BY d DESC, id LIMIT 500)"
+_FEW = "(SELECT prediction FROM cl GROUP BY prediction HAVING count(*) < 10)"
 
 
 def _clustered(spark, sf):
     clustered, _ = A.kmeans_clusters(_metrics(spark, sf))
-    return clustered
+    return clustered.withColumn("distance_to_centroid", F.round("distance_to_centroid", 6))
 
 
-@register("cluster_distance")
+@register("cluster_distance", _KM_SQL + f"\nSELECT {_KM_OUT} FROM cl JOIN m USING (id)")
 def q_cluster_distance(spark, sf):
     return _clustered(spark, sf).select(*_CLUSTER_OUT)
 
 
-@register("small_clusters")
+@register("small_clusters", _KM_SQL + "\nSELECT prediction, count(*) AS count FROM cl GROUP BY prediction HAVING count(*) < 10")
 def q_small_clusters(spark, sf):
     return A.small_clusters(_clustered(spark, sf))
 
 
-@register("cluster_outliers")
+@register("cluster_outliers", _KM_SQL + f"\nSELECT {_KM_OUT} FROM cl JOIN m USING (id) WHERE cl.id IN {_FAR}")
 def q_cluster_outliers(spark, sf):
     return A.cluster_outliers(_clustered(spark, sf)).select(*_CLUSTER_OUT)
 
 
-@register("cluster_anomalies")
+@register("cluster_anomalies", _KM_SQL + f"\nSELECT {_KM_OUT} FROM cl JOIN m USING (id) WHERE cl.id IN {_FAR} OR prediction IN {_FEW}")
 def q_cluster_anomalies(spark, sf):
     return A.cluster_anomalies(_clustered(spark, sf)).select(*_CLUSTER_OUT)
 
@@ -311,7 +354,7 @@ def q_cluster_anomalies(spark, sf):
 # Five fixed centres in units of standard deviations, so that the assignment is
 # the same in any engine; the clusters from K-means go through the same code.
 _CENTRES = [[0.0] * 7, [1.5, -0.5, 1.0, 0.0, 1.0, 0.0, 1.5], [-0.5, 1.5, -0.5, 1.5, 0.0, 1.5, -0.5],
-            [-1.5, 0.0, -1.0, 0.0, -1.0, 0.0, -1.5], [6.0, 0.0, 6.0, 0.0, 6.0, 0.0, 6.0]]
+            [-1.5, 0.0, -1.0, 0.0, -1.0, 0.0, -1.5], [4.5, 0.0, 4.5, 0.0, 4.5, 0.0, 4.5]]
 _GIVEN_SQL = _M_SQL + f""",
 zs AS (SELECT id, {', '.join(
     f"(CASE WHEN coalesce(stddev_samp({c}) OVER (), 0) = 0 THEN 0.0 ELSE "

@@ -91,3 +91,39 @@ def test_metrics_fill_and_kmeans_gate(spark):
     assert rows["a"].inDegree == 0 and rows["a"].received_volume == 0.0 and rows["c"].outDegree == 0
     clustered, centers = A.kmeans_clusters(m)
     assert clustered is None and centers == []                                 # fewer than 20 addresses
+
+
+def test_kmeans_is_a_function_of_the_table(spark):
+    rng = np.random.default_rng(1)
+    centre = np.repeat([0.0, 50.0, 200.0], [60, 40, 5])
+    rows = [(f"a{i:03d}", *[float(c + x) for x in rng.normal(size=7)]) for i, c in enumerate(centre)]
+    df = spark.createDataFrame(rows, "id string, " + ", ".join(f"{c} double" for c in A.METRIC_FEATURES))
+    got = [A.kmeans_clusters(d, max_k=4) for d in (df, df.repartition(7).orderBy(F.rand(3)))]
+    one, two = ({r.id: (r.prediction, round(r.distance_to_centroid, 6)) for r in c.collect()} for c, _ in got)
+    assert one == two and np.allclose(got[0][1], got[1][1], atol=1e-8) and len(one) == 105
+    # the fixed point of the rounds: every centre is the mean of its members
+    z = {r["id"]: r["scaled"] for r in got[0][0].collect()}
+    for k, c in enumerate(got[0][1]):
+        mine = [z[i] for i, (p, _) in one.items() if p == k]
+        assert not mine or np.allclose(np.mean(mine, axis=0), c, atol=1e-6)
+
+
+def test_components_split_a_hub(spark):
+    # a hub with most of the edges, under a threshold that calls it skewed
+    sizes = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    keep = {k: spark.conf.get(k, None) for k in sizes}
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        pairs = spark.range(60_000).select(F.lit("hub").alias("a"), F.concat(F.lit("v"), F.col("id").cast("string")).alias("b")) \
+            .union(spark.range(500).select(F.concat(F.lit("w"), F.col("id").cast("string")), F.concat(F.lit("x"), F.col("id").cast("string"))))
+        star = G._large_star(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).repartition(8))
+        assert star.count() > 0
+        star.collect()
+        plan = star._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in keep.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
