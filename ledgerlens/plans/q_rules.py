@@ -8,7 +8,7 @@ from ..operators import rules as R
 from ..sources import messages as M
 from ..sources.tables import read_table, trades
 from . import batch_rules
-from .registry import register
+from .registry import ORACLES, register
 
 AS_OF = "2001-07-31 00:00:00"   # fixed "now" of the load keys (the data ends 2001-08-01)
 
@@ -210,6 +210,19 @@ def q_rapid_transactions(spark, sf):
     return r.select("tx_hash", "block_unixtime", "buy_address", "transactions_in_window", "is_rapid_transaction")
 
 
+@register("rapid_rerun", ORACLES["rapid_transactions"], trades_cte=False)
+def q_rapid_rerun(spark, sf):
+    """The same batch run again, with its own rows already in the history: they
+    are left out, so nothing counts twice."""
+    t = trades(spark, sf)
+    batch, hist = t.where(~F.col("analyzed")), t
+    lo, hi = R.time_bounds(batch, "block_unixtime")
+    hist = R.exclude_reprocessed(R.history_scan(hist, lo, hi, time_col="block_unixtime"), batch,
+                                 time_col="block_unixtime", hash_col="tx_hash")
+    r = R.rapid_transactions(batch, hist, trader_col="sell_address", time_col="block_unixtime", hash_col="tx_hash")
+    return r.select("tx_hash", "block_unixtime", "buy_address", "transactions_in_window", "is_rapid_transaction")
+
+
 @register("history_scan", """
 SELECT tx_hash, block_unixtime, buy_address FROM trades WHERE analyzed AND block_unixtime BETWEEN
   (SELECT min(block_unixtime) - 180 FROM trades WHERE NOT analyzed)

@@ -109,6 +109,21 @@ def q_stream_dedup(spark, sf):
                       F.round("buy_amount", 4).alias("buy_amount"), F.round("sell_amount", 4).alias("sell_amount"))
 
 
+@register("stream_dedup_across", """SELECT DISTINCT tx_hash FROM trades""")
+def q_stream_dedup_across(spark, sf):
+    """One trade per transaction, across windows: the messages land, and land
+    again; the same streaming query runs after each landing and the second one
+    adds nothing."""
+    landing, sink = scratch_path(spark, "dedup_landing"), scratch_path(spark, "dedup_across")
+    out = None
+    for i in range(2):
+        M.encode_messages(trades(spark, sf)).select("value").write.text(f"{landing}/arrival={i}")
+        raw = spark.readStream.format("text").option("recursiveFileLookup", "true").load(landing)
+        kept = SJ.stream_dedup_across(SJ.stream_features(raw), hold="20000 days")
+        out = SJ.run_available_now(kept.select("tx_hash"), "dedup_across", sink_path=sink)
+    return out
+
+
 def _forest_input(spark, sf):
     """Features, one row per (1-day window, trade id), standardised."""
     d = FT.window_dedup(FT.extract_features(trades(spark, sf)), WINDOW)

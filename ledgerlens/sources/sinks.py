@@ -5,12 +5,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..session import path_exists
+from ..session import delete_path, path_exists, scratch_path
 
 # table -> stamp column added at write time
 STAMP_COLUMN = {
@@ -75,18 +75,42 @@ def ensure_table(spark: SparkSession, name: str, base_path: str) -> bool:
     return True
 
 
+def create_table(spark: SparkSession, table: str, name: str, location: str, partition_by: tuple = ()) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` in the session's catalog for a result table,
+    with its column comments; the data live in ``location``."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                        + (f" COMMENT '{f.metadata['comment']}'" if "comment" in f.metadata else "")
+                        for f in described_schema(name).fields)
+    parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{parts} LOCATION '{location}'")
+
+
+def append_table(df: DataFrame, table: str, name: str, as_of) -> int:
+    """Append one stamped, conformed result frame to a catalog table by column
+    name; returns the rows written, counted by the write itself."""
+    seen = Observation()
+    out = prepare(name, df, as_of).observe(seen, F.count(F.lit(1)).alias("n"))
+    stored = df.sparkSession.table(table)
+    out.select(*stored.columns).write.insertInto(table)
+    return seen.get["n"]
+
+
 def save_results(results: dict, base_path: str, as_of, mode: str = "append",
-                 skip_empty: bool = True) -> list[str]:
-    """Append every result frame to ``<base_path>/<table>`` (Parquet),
-    stamped and conformed; an empty frame is skipped (one ``isEmpty`` probe,
-    a limit-1 job). Returns the tables written."""
-    written = []
+                 skip_empty: bool = True) -> dict[str, int]:
+    """Append every result frame to ``<base_path>/<table>`` (Parquet), stamped
+    and conformed. Returns the rows written per table, counted by the write
+    itself: no frame is computed twice. An empty frame is left out, and the
+    folder that its write made is removed."""
+    spark, written = next(iter(results.values())).sparkSession if results else None, {}
     for name, df in results.items():
-        out = prepare(name, df, as_of)
-        if skip_empty and out.isEmpty():
-            continue
-        out.write.mode(mode).parquet(f"{base_path.rstrip('/')}/{name}")
-        written.append(name)
+        path, seen = f"{base_path.rstrip('/')}/{name}", Observation()
+        there = path_exists(spark, path)
+        prepare(name, df, as_of).observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(path)
+        rows = seen.get["n"]
+        if rows or not skip_empty:
+            written[name] = rows
+        elif not there:
+            delete_path(spark, path)
     return written
 
 
@@ -117,3 +141,29 @@ def write_snapshot(df: DataFrame, path: str, partition_by=None) -> str:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return path
+
+
+def update_analyzed(spark: SparkSession, path: str, processed: DataFrame, partition: str,
+                    key: str = "tx_hash") -> int:
+    """Set ``analyzed`` on the processed keys of a stored, partitioned trades
+    table and return the number of rows updated.
+
+    Only partitions that hold a row to update are rewritten: they are staged
+    first (the folder being read is never written), then swapped in by a dynamic
+    partition overwrite; all other folders keep their files. A run that is cut
+    off can be repeated. The list of partitions is bounded by the folders."""
+    table = spark.read.parquet(path)
+    keys = processed.select(key).where(F.col(key).isNotNull()).distinct()
+    stale = ~F.coalesce(F.col("analyzed"), F.lit(False))
+    touched = [r[0] for r in table.where(stale).join(keys, key, "left_semi").select(partition).distinct().collect()]
+    if not touched:
+        return 0
+    seen, staging = Observation(), scratch_path(spark, "analyzed-staging")
+    old = table.where(F.col(partition).isin([t for t in touched if t is not None]) |
+                      (F.col(partition).isNull() if None in touched else F.lit(False)))
+    marked = mark_analyzed(old.withColumn("_was", ~stale), processed, key)
+    marked.observe(seen, F.count_if(F.col("analyzed") & ~F.col("_was")).alias("n")).drop("_was").write.parquet(staging)
+    spark.read.schema(table.schema).parquet(staging).hint("rebalance", partition).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    delete_path(spark, staging)
+    return seen.get["n"]

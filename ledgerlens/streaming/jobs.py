@@ -78,6 +78,14 @@ def stream_dedup(features: DataFrame, window: str = "60 seconds", delay: str = "
                     *[F.col("_r." + c).alias(c) for c in others])
 
 
+def stream_dedup_across(features: DataFrame, keys=("tx_hash",), hold: str = "1 hour",
+                        time_col: str = "block_timestamp") -> DataFrame:
+    """The first row to arrive of every key, across windows: a key stays in the
+    state until the watermark, ``hold`` behind the latest time, has passed it, so
+    repeats in adjacent windows and replayed messages go."""
+    return features.withWatermark(time_col, hold).dropDuplicatesWithinWatermark(list(keys))
+
+
 def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
                       sink_path: str | None = None, timeout_s: float | None = None) -> DataFrame:
     """Run a streaming frame to completion over the data available now into a

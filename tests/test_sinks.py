@@ -17,7 +17,8 @@ def test_save_results_stamps_conforms_and_skips_empty(spark):
     v = G.build_vertices(t)
     written = SK.save_results({"graph_vertices": v, "graph_edges": G.build_edges(t), "token_pairs": G.token_pairs(t, 5),
                                "volume_ratio_high_anomalous_addresses": v.limit(0)}, base, "2024-01-01 00:00:00")
-    assert written == ["graph_vertices", "graph_edges", "token_pairs"]
+    assert list(written) == ["graph_vertices", "graph_edges", "token_pairs"]
+    assert written["graph_vertices"] == v.count() and not os.path.exists(os.path.join(base, "volume_ratio_high_anomalous_addresses"))
     ge = spark.read.parquet(os.path.join(base, "graph_edges"))
     assert dict(ge.dtypes)["latest_timestamp"] == "timestamp" and ge.where(F.col("latest_timestamp").isNull()).count() == 0
     gv = spark.read.parquet(os.path.join(base, "graph_vertices"))
@@ -52,6 +53,10 @@ def test_batch_job_with_history_from_its_own_sink(spark):
          for r in again.collect()}
     assert a.keys() == b.keys() and all(b[k] >= 2 * a[k] - 0 for k in a if a[k] == 1)
     assert again.count() == first.count()
+    # without its own rows in the history a rerun counts as the first run did
+    rerun = batch_rules.batch_score(raw, history=hist, skip_reprocessed=True)
+    c = {(r.transaction.hash, r.buyCurrency.address, r.block.timestamp.unixtime): r.transactions_in_window for r in rerun.collect()}
+    assert c == a
 
 
 def test_graph_job_end_to_end(spark):
@@ -89,3 +94,18 @@ def test_history_scan_prunes_folders_of_the_scored_table(spark, tmp_path):
     kept = R.history_scan(spark.read.parquet(path), hi - 86400, hi)
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(block_date" in plan and "block.timestamp.unixtime" in plan
+
+
+def test_update_analyzed_rewrites_only_what_changes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(f"h{i}", i % 4, i % 3 == 0) for i in range(40)], "tx_hash string, day int, analyzed boolean") \
+        .write.partitionBy("day").parquet(path)
+    files = lambda: {d: sorted(os.listdir(f"{path}/{d}")) for d in sorted(os.listdir(path)) if d.startswith("day=")}
+    before = files()
+    done = spark.createDataFrame([("h1",), ("h5",), ("h5",), ("h0",), (None,)], "tx_hash string")
+    assert SK.update_analyzed(spark, path, done, "day") == 2          # h0 is flagged already
+    after = files()
+    assert [d for d in before if before[d] != after[d]] == ["day=1"]
+    got = {r.tx_hash: r.analyzed for r in spark.read.parquet(path).collect()}
+    assert len(got) == 40 and all(v == (k in ("h1", "h5") or int(k[1:]) % 3 == 0) for k, v in got.items())
+    assert SK.update_analyzed(spark, path, done, "day") == 0 and files() == after
