@@ -1,11 +1,15 @@
 """Exact, cached word-level encoding with a public BPE vocabulary.
 
-The tokenizer drops white space and its merges never cross a word, so a chunk
-between blanks always gives the same ids. Chunks of plain Latin text are looked
-up in a bounded cache; everything else goes through the tokenizer itself."""
+The tokenizer drops white space and its merges never cross a word, so a word
+always gives the same ids, and so does a chunk between blanks. A text of plain
+Latin letters is cut into words at once; in other texts the chunks that are
+plain are. Words and chunks are looked up in a bounded cache; everything else
+goes through the tokenizer itself, and so does every text where the vocabulary
+file has another normalizer or word pattern."""
 
 from __future__ import annotations
 
+import json
 import re
 
 import numpy as np
@@ -17,7 +21,34 @@ _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}
 #: Chunks on which lower-casing is per letter and composition changes nothing.
 _PLAIN = re.compile("[!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]+")
 _PLAIN_TEXT = re.compile("[\n -~\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]+")
-_MOST = 400_000
+#: Entries of each of the two generations of the cache.
+_MOST = 250_000
+
+
+def _plain_words() -> re.Pattern:
+    """The word pattern with its classes spelt out for plain text."""
+    plain = [chr(c) for c in range(0x20, 0x250) if _PLAIN.fullmatch(chr(c))]
+    letters = re.escape("".join(c for c in plain if regex.fullmatch(r"\p{L}", c)))
+    digits = re.escape("".join(c for c in plain if regex.fullmatch(r"\p{N}", c)))
+    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^\s{letters}{digits}]+")
+
+
+_PLAIN_WORDS = _plain_words()
+
+
+# The form of the vocabulary files that this module repeats.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_CUT = {"type": "Split", "pattern": {"Regex": _WORDS.pattern}, "behavior": "Removed", "invert": True}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+
+
+def known_form(tok: Tokenizer) -> bool:
+    """Whether the file normalizes, cuts and maps bytes as this module does."""
+    form = json.loads(tok.to_str())
+    norm, pre = (form.get(k) or {} for k in ("normalizer", "pre_tokenizer"))
+    cut = pre.get("pretokenizers") or [{}, {}]
+    return (norm.get("normalizers") == _NORMALIZERS and len(cut) == 2 and cut[0] == _CUT
+            and _BYTES.items() <= cut[1].items() and form["model"]["type"] == "BPE" and not form["model"].get("dropout"))
 
 
 def _byte_letters() -> dict[int, str]:
@@ -39,7 +70,10 @@ class WordEncoder:
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
         self.model = self.tok.model
-        self.ids: dict[str, bytes] = {"": b""}      # of words and of chunks
+        self.known = known_form(self.tok)
+        # of words and of chunks; the older generation keeps what is looked up again
+        self.ids: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def _raw(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
@@ -47,18 +81,20 @@ class WordEncoder:
     def _word(self, word: str) -> bytes:
         """Ids of one match of the word pattern."""
         known = self.ids.get(word)
+        if known is None:
+            known = self.older.get(word)
         if known is None:
             mapped = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
             known = b"".join([t.id.to_bytes(self.size, "little") for t in self.model.tokenize(mapped)])
-            self.ids[word] = known
+        self.ids[word] = known
         return known
 
     def _learn(self, chunk: str) -> bytes:
         """Ids of a chunk without blanks and line ends."""
-        if len(self.ids) > _MOST:
-            self.ids.clear()
-            self.ids[""] = b""
-        if not _PLAIN.fullmatch(chunk):
+        out = self.older.get(chunk)
+        if out is not None:
+            pass
+        elif not _PLAIN.fullmatch(chunk):
             out = self._raw(chunk)
         elif chunk.isalpha():
             return self._word(chunk.lower())
@@ -68,10 +104,17 @@ class WordEncoder:
         return out
 
     def encode(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
+        if not self.known or any(s in text for s in self.special):
             return self._raw(text)
+        if len(self.ids) > _MOST:
+            self.older, self.ids = self.ids, {"": b""}
         if _PLAIN_TEXT.fullmatch(text):
-            text = text.lower()
+            words = _PLAIN_WORDS.findall(text.lower())
+            got = list(map(self.ids.get, words))
+            if None in got:
+                word = self._word
+                got = [word(w) if g is None else g for w, g in zip(words, got)]
+            return b"".join(got)
         parts = text.replace("\n", " ").split(" ")
         got = list(map(self.ids.get, parts))
         if None in got:

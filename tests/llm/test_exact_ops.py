@@ -295,3 +295,29 @@ def test_topk_ties_blocks_and_odd_vectors(spark, monkeypatch):
         assert got == topk_brute(rows, 5, 20)
     assert topk.top_k(df.limit(0)).count() == 0
     assert topk.top_k(df.where("vec_id = 0"), every=20).count() == 0
+
+
+def test_another_vocabulary_goes_through_the_tokenizer(tmp_path, docs):
+    import json
+
+    from ledgerlens.llm.tokens import WordEncoder
+    form = json.load(open(queries.TOKENIZER))
+    form["normalizer"]["normalizers"] = form["normalizer"]["normalizers"][:2]          # keeps the case
+    path = str(tmp_path / "cased.json")
+    json.dump(form, open(path, "w"))
+    known, cased = WordEncoder(queries.TOKENIZER), WordEncoder(path)
+    assert known.known and not cased.known
+    own = [Tokenizer.from_file(p) for p in (queries.TOKENIZER, path)]
+    odd = ["It's THE Café don't, 3.5 x²", "a\tb c", "'s 's't <|endoftext|> é", "", " \n ", "Ünïcode ǆ ß ſ İ"]
+    for text in [t or "" for _, t in docs[:60]] + odd:
+        for enc, tok in zip((known, cased), own):
+            want = np.array(tok.encode(text, add_special_tokens=False).ids, dtype=enc.dtype).tobytes()
+            assert enc.encode(text) == want
+
+
+def test_the_cache_forgets_without_harm(monkeypatch, docs):
+    from ledgerlens.llm import tokens
+    monkeypatch.setattr(tokens, "_MOST", 50)
+    enc, tok = tokens.WordEncoder(queries.TOKENIZER), Tokenizer.from_file(queries.TOKENIZER)
+    for _, t in docs[:80]:
+        assert enc.encode(t or "") == np.array(tok.encode(t or "", add_special_tokens=False).ids, dtype=enc.dtype).tobytes()
