@@ -2,18 +2,18 @@
 
 Intermediate tables that are read more than once are written as Parquet under
 the cluster's shared checkpoint folder (``shared_table``); that cuts the lineage
-and survives lost executors. Nothing is kept on a machine-local folder."""
+and survives lost executors. They are removed when the process ends; nothing is
+kept on a machine-local folder."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import scratch_path
 
 #: The six ASCII white-space characters: space, and tab to carriage return.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
@@ -25,8 +25,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder name (URI) under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/ledgerlens-llm/{name}-{uuid.uuid4().hex}"
+    """A fresh folder name (URI) under the shared checkpoint folder, removed when
+    this process ends."""
+    return scratch_path(spark, f"llm-{name}")
 
 
 def shared_table(df: DataFrame, name: str) -> DataFrame:
