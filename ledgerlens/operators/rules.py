@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from ..session import scratch_path
+from ..session import stored
 
 CURRENT, HISTORICAL = "current_batch", "historical"
 
@@ -72,11 +72,7 @@ def exclude_reprocessed(history: DataFrame, batch: DataFrame, time_col: str = "b
     own rows in the scored table and must not count them twice. Null-safe on
     (hash, time); the batch's keys are made distinct by partial sums and written,
     so that the join's sides are plain exchanges and a hot key can be split."""
-    spark = batch.sparkSession
-    keys = batch.select(F.col(hash_col).alias("_h"), F.col(time_col).alias("_t")).distinct()
-    path = scratch_path(spark, "batch-keys")
-    keys.write.parquet(path)
-    keys = spark.read.schema(keys.schema).parquet(path)
+    keys = stored(batch.select(F.col(hash_col).alias("_h"), F.col(time_col).alias("_t")).distinct(), "batch-keys")
     return history.join(keys, F.col(hash_col).eqNullSafe(F.col("_h")) & F.col(time_col).eqNullSafe(F.col("_t")), "left_anti")
 
 

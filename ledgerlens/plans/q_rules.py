@@ -136,21 +136,37 @@ def q_recent_trades(spark, sf):
 
 
 # ---------------------------------------------------------------- filters
+# Messages of some transactions lack a struct: by the order key, the currency, the
+# block, the block's time or the transaction itself.
+_LOST = {11: (r'"buyCurrency":\{[^}]*\}', '"buyCurrency":null'), 13: (r'"block":\{"timestamp":\{[^}]*\},"height":[0-9]+\}', '"block":null'),
+         17: (r'"timestamp":\{[^}]*\}', '"timestamp":null'), 19: (r'"transaction":\{[^}]*\}', '"transaction":null')}
+
+
+def _damaged(spark, sf):
+    m = _messages(spark, sf).withColumn("n", F.substring("tx_hash", 3, 20).cast("long"))
+    for k, (pattern, null) in _LOST.items():
+        m = m.withColumn("value", F.when(F.col("n") % k == 0, F.regexp_replace("value", pattern, null)).otherwise(F.col("value")))
+    return M.parse_messages(m.select("value"))
+
+
 @register("required_filter", """
 SELECT tx_hash, block_unixtime, buy_address FROM trades
-WHERE block_unixtime IS NOT NULL AND tx_hash IS NOT NULL AND buy_address IS NOT NULL""")
+WHERE block_height % 11 <> 0 AND block_height % 13 <> 0 AND block_height % 17 <> 0 AND block_height % 19 <> 0""")
 def q_required_filter(spark, sf):
-    p = R.required_filter(M.parse_messages(_messages(spark, sf)))
+    """Trades with all required structs, over messages of which some lack one."""
+    p = R.required_filter(_damaged(spark, sf))
     return p.select(F.col("transaction.hash").alias("tx_hash"),
                     F.col("block.timestamp.unixtime").alias("block_unixtime"),
                     F.col("buyCurrency.address").alias("buy_address"))
 
 
 @register("null_audit", """
-SELECT 0::BIGINT AS null_block, 0::BIGINT AS null_block_timestamp, 0::BIGINT AS null_transaction,
-       0::BIGINT AS null_buyCurrency, count(*) AS rows FROM trades""")
+SELECT count(*) FILTER (block_height % 13 = 0) AS null_block,
+       count(*) FILTER (block_height % 13 = 0 OR block_height % 17 = 0) AS null_block_timestamp,
+       count(*) FILTER (block_height % 19 = 0) AS null_transaction,
+       count(*) FILTER (block_height % 11 = 0) AS null_buyCurrency, count(*) AS rows FROM trades""")
 def q_null_audit(spark, sf):
-    return R.null_audit(M.parse_messages(_messages(spark, sf)))
+    return R.null_audit(_damaged(spark, sf))
 
 
 # ---------------------------------------------------------------- rules

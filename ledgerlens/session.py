@@ -103,4 +103,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def stored(df, name: str):
+    """``df`` written to a scratch folder and read back. A join with the result
+    is a join of plain exchanges, which AQE can split at a hot key; an aggregate
+    between exchange and sort forbids it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 atexit.register(_drop_scratch)
