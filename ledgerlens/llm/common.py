@@ -47,6 +47,14 @@ def hash128(*cols: Column) -> Column:
     return F.struct(F.xxhash64(*cols).alias("a"), F.xxhash64(F.lit(0x5EED), *cols).alias("b"))
 
 
+def one_per_id(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per id: of different texts that of the smallest hash, so that the
+    choice is the same in every run."""
+    others = [c for c in rows.columns if c != id_col]
+    least = F.min(F.struct(F.xxhash64(text_col).alias("__h"), *others)).alias("__r")
+    return rows.groupBy(id_col).agg(least).select(*[F.col(c) if c == id_col else F.col(f"__r.{c}").alias(c) for c in rows.columns])
+
+
 def text_bytes(df: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     """(doc_id, body): the id as long and the UTF-8 bytes, null text as empty.
     Bytes reach the Python tasks without a decode."""

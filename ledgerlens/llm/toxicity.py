@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, shared_table, text_bytes
+from .common import batches, one_per_id, shared_table, text_bytes
 
 #: Bounds of the fit: labelled rows used, taken in hash order of their ids.
 MAX_EXAMPLES = 12_000
@@ -205,8 +205,8 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc
     Without labelled rows every text scores the prior, zero."""
     # at most ``max_examples`` rows of 12 bytes
     sample = F.broadcast(shared_table(labelled_sample(labels, label_col, held_out, max_examples), "tox-sample"))
-    texts = shared_table(text_bytes(docs.where(F.col(id_col).isNotNull()), id_col, text_col)
-                         .join(sample, "doc_id").dropDuplicates(["doc_id"]), "tox-texts")
+    texts = shared_table(one_per_id(text_bytes(docs.where(F.col(id_col).isNotNull()), id_col, text_col)
+                                    .join(sample, "doc_id"), "doc_id", "body"), "tox-texts")
 
     def presence(frames):
         for b in batches(frames):
@@ -296,8 +296,13 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: Column, id_col
     """``docs`` with ``score_col`` (0 to 1, higher: more likely toxic) and
     ``evidence_col``; columns of these names in the input are replaced. Labels
     are learnt only where ``held_out`` is false; the score of a text depends on
-    the text alone. Repeated rows score alike; an empty table gives no rows."""
+    the text alone. Repeated rows score alike, a text of any length is scored
+    whole; of different texts of a labelled id that of the smallest hash is learnt
+    from; an empty table gives no rows."""
     model = fit(docs, labels, held_out, id_col, text_col, **options)
     kept = [c for c in docs.columns if c not in (score_col, evidence_col)]
-    both = docs.select(*kept, score_column(model, F.col(text_col), docs.sparkSession).alias("__scored"))
-    return both.select(*kept, F.col("__scored.score").alias(score_col), F.col("__scored.evidence").alias(evidence_col))
+    both = "__scored"
+    while both in kept:
+        both += "_"
+    scored = docs.select(*kept, score_column(model, F.col(text_col), docs.sparkSession).alias(both))
+    return scored.select(*kept, F.col(f"{both}.score").alias(score_col), F.col(f"{both}.evidence").alias(evidence_col))

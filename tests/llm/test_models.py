@@ -101,3 +101,21 @@ def test_pairwise_weights_prefer_the_good_side():
     good, bad = np.flatnonzero(y), np.flatnonzero(1 - y)
     w = quality.bradley_terry(x, rng.choice(good, 2000), rng.choice(bad, 2000))
     assert w[0] > 0 > w[2] and abs(w[1]) < abs(w[2])
+
+
+def test_texts_of_one_labelled_id_are_chosen_alike_in_every_run(spark):
+    from ledgerlens.llm.common import one_per_id
+    rows = [(i % 7, f"text {i}", i % 2) for i in range(50)] + [(9, None, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, body string, y int")
+    runs = [sorted(map(tuple, one_per_id(d, "doc_id", "body").collect())) for d in (df, df.repartition(5), df.orderBy(F.rand(2)))]
+    assert runs[0] == runs[1] == runs[2] and [r[0] for r in runs[0]] == [0, 1, 2, 3, 4, 5, 6, 9]
+    assert one_per_id(df, "doc_id", "body").columns == df.columns
+
+
+def test_clashing_columns_of_the_classifiers(spark):
+    docs = spark.createDataFrame([(1, "bad bad word", 1, "x", 2.0), (2, None, 2, "y", 3.0), (1, "fine", 3, "z", 4.0)],
+                                 "doc_id long, text string, __scored int, evidence string, score double")
+    labels = spark.createDataFrame([(1, 1, 1), (2, 0, 0)], "doc_id long, toxic int, quality int")
+    out = toxicity.toxicity_scores(docs, labels, F.lit(False))
+    assert sorted(r["__scored"] for r in out.collect()) == [1, 2, 3]
+    assert quality.quality_scores(docs, labels, F.lit(False)).where("score BETWEEN 0 AND 1").count() == 3
