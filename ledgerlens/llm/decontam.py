@@ -139,7 +139,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     whether some value differs at every matching shift. Null and empty texts and
     items hold nothing; a null item id is ignored; rows of one id match as one
     document; items with equal texts each match; items under ``least`` tokens
-    never do. Empty tables give no rows."""
+    never do. A text of any length is one row of windows, dealt out as they are
+    made; further columns are ignored. Empty tables give no rows."""
     wins = shared_table(benchmark_windows(benchmark, item_col, item_text_col, run, least), "bench-windows")
     # at most ``run`` rows
     lengths = [r["len"] for r in wins.select("len").distinct().orderBy("len").collect()]

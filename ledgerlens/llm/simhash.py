@@ -175,7 +175,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``radius`` differing bits, the row's own included. Null and blank texts have
     fingerprint zero and link like any other; repeated ids and texts are rows of
     their own with the same component; a null id takes the smallest id of its
-    group (null if none has one). An empty table gives no rows. Equal
+    group (null if none has one). An empty table gives no rows; further columns
+    are ignored. A text of any length is hashed whole, one text at a time. Equal
     fingerprints collapse before tiles meet, so copies cost one row."""
     prints = shared_table(fingerprints(docs, id_col, text_col, words), "simhash")
     reps = shared_table(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-reps")

@@ -142,7 +142,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1,
     and only files named by the manifest count, so a task that runs again leaves
     no double. Null texts are empty documents (the end id alone), null ids come
     first, repeated rows are documents of their own, an empty table has no
-    file."""
+    file. A text of any length is encoded whole and has a frame of its own when it
+    fills one; further columns are ignored."""
     def run(frames):
         enc = encoder(tokenizer)
         end = end_id.to_bytes(enc.size, "little")

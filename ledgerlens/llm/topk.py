@@ -167,8 +167,8 @@ def top_k(embeddings: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec
     Equal rows count once. Different vectors of one id are candidates of their
     own, though never of their own id; such a query id is answered once, for the
     vector of the smallest hash.
-    Fewer candidates give fewer rows, an empty table none. Scores must fit 64
-    bits.
+    Fewer candidates give fewer rows, an empty table none; further columns are
+    ignored. Scores must fit 64 bits.
 
     Query blocks are dealt to every index part (the query set grows with the
     table, so it is not broadcast); a task holds one part of the index and
