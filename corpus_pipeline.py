@@ -3,7 +3,10 @@ decontamination, best-fit packing.
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor
 kept; all but the last return the columns of ``documents`` (``n_chars`` follows
-the text). ``run`` writes every stage as Parquet in the shared folder and reads
+the text). Null and empty texts go through every stage (SimHash keeps one of
+them), rows without an id and repeated rows are rows of their own but for SimHash,
+which keeps one of equal rows; empty tables give empty tables; columns of other
+names pass through the filtering stages. ``run`` writes every stage as Parquet in the shared folder and reads
 it again as the next one's input."""
 
 from __future__ import annotations
@@ -30,7 +33,8 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of fingerprints within three bits."""
+    """The smallest id of each group of fingerprints within three bits whose
+    shingle sketches agree."""
     return simhash.simhash_dedup(docs, words=3, radius=3).select(*docs.columns)
 
 
