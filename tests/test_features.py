@@ -84,3 +84,13 @@ def test_null_hashes_keep_their_time(spark):
     assert f.count() == 5 and f.where("unique_id is null").count() == 0
     d = FT.window_dedup(f)
     assert sorted(r["unique_id"] for r in d.collect()) == ["None_100", "None_101", "h_100"]
+
+
+def test_dedup_before_the_derived_columns_gives_the_same_rows(spark):
+    rows = [("p", 1000 + i % 3, 5, f"h{i % 4}", "A", "b", float(i % 5), "B", "s", float(i % 2), 0.1, 1.0) for i in range(40)]
+    t = spark.createDataFrame(rows, "protocol string, block_unixtime long, block_height long, tx_hash string, buy_currency string, "
+                                    "buy_address string, buy_amount double, sell_currency string, sell_address string, "
+                                    "sell_amount double, gas_value double, gas_price double")
+    whole = FT.window_dedup(FT.extract_features(t), "60 seconds")
+    slim = FT.deduped_features(t, "60 seconds").select(*whole.columns)
+    assert sorted(map(str, slim.collect())) == sorted(map(str, whole.collect())) and whole.count() == 12
