@@ -18,7 +18,7 @@ from . import q_rules
 
 def network_analysis(trades: DataFrame, top: int = 100, communities: int = 10, multi_edges: bool = False):
     """The six network result frames plus the shared intermediates."""
-    v, e, ranks, m = A.graph_metrics(trades, multi_edges=multi_edges)
+    v, e, ranks, m = A.graph_metrics(trades, multi_edges=multi_edges, values=True)
     comps = G.connected_components(v, e).persist()
     results = {
         "important_addresses": G.important_addresses(v, ranks, top),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import anomaly as A
 from ..operators import graph as G
 from ..operators import rules as R
-from ..session import path_exists, scratch_path
+from ..session import path_exists, scratch_path, stored
 from ..sources import messages as M
 from ..sources import sinks as SK
 from ..sources.tables import trades
@@ -143,7 +143,7 @@ SELECT tbl, id, round(volume_ratio, 6) AS volume_ratio, '2024-01-01 00:00:00' AS
 def q_sink_anomalies(spark, sf):
     """The anomaly tables as stored: stamped, with the rows of each write."""
     base = scratch_path(spark, "results")
-    m = A.graph_metrics(trades(spark, sf))[3].checkpoint()
+    m = stored(A.graph_metrics(q_graph.graph_trades(spark, sf))[3], "metrics")
     found = {"volume_ratio_high_anomalous_addresses": A.volume_ratio_high(m), "volume_ratio_low_anomalous_addresses": A.volume_ratio_low(m)}
     written = SK.save_results(found, base, "2024-01-01 00:00:00")
     out = None

@@ -127,3 +127,18 @@ def test_components_split_a_hub(spark):
     finally:
         for k, v in keep.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_pagerank_rounds_leave_the_edges_where_they_lie(spark, monkeypatch):
+    edges = spark.createDataFrame([(f"a{i % 7}", f"a{i}") for i in range(50)], "src string, dst string")
+    ids = spark.createDataFrame([(f"a{i}",) for i in range(50)], "id string")
+    names = []
+    real = G.stored
+    monkeypatch.setattr(G, "stored", lambda df, name: names.append(name) or real(df, name))
+    ranks = G.pagerank(ids, edges, iterations=5)
+    # ranks that are read back each round have no partitioning that the edges would have to follow
+    assert names.count("pagerank-ranks") == 5 and ranks.count() == 50
+    laid = G._laid_out(edges, 16, "src")
+    assert sorted(laid.collect()) == sorted(edges.collect()) and laid.rdd.getNumPartitions() == 16
+    laid.unpersist()
+    assert spark.conf.get(G._FREE_CACHE, "true") == "true"
