@@ -68,14 +68,18 @@ def term_counts(text: str, lookup: _Lookup) -> Counter:
     return Counter([t for ts in map(lookup.__getitem__, text.split()) if ts for t in ts])
 
 
+def labelled_rows(labels: DataFrame, label_col: str, held_out: Column, id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, y) of all labelled rows that are not held out. Ids labelled twice
+    count once (the larger label); null ids and null labels are left out."""
+    return labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out) \
+        .groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.max(label_col).cast("int").alias("y"))
+
+
 def labelled_sample(labels: DataFrame, label_col: str, held_out: Column, bound: int,
                     id_col: str = "doc_id") -> DataFrame:
-    """At most ``bound`` (doc_id, y) rows that are not held out, in hash order:
-    the documented bound of the fit. Ids labelled twice count once (the larger
-    label); null ids and null labels are left out."""
-    rows = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out) \
-        .groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.max(label_col).cast("int").alias("y"))
-    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+    """At most ``bound`` of the labelled rows, in hash order: the documented bound
+    of the fit."""
+    return labelled_rows(labels, label_col, held_out, id_col).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
 
 
 class BlockMaxIndex:

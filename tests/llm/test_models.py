@@ -119,3 +119,33 @@ def test_clashing_columns_of_the_classifiers(spark):
     out = toxicity.toxicity_scores(docs, labels, F.lit(False))
     assert sorted(r["__scored"] for r in out.collect()) == [1, 2, 3]
     assert quality.quality_scores(docs, labels, F.lit(False)).where("score BETWEEN 0 AND 1").count() == 3
+
+
+def test_quality_is_fitted_on_every_labelled_row(spark):
+    # the scaling and the threshold of every row, in one block or in many; more rows than one fit held before
+    texts = ["the sea and the boats are calm today", "a calm day, with boats and the sea!", "x x x x $$$ x x x", "$$ y y y y y y $$"]
+    docs = spark.range(16_000).select(F.col("id").alias("doc_id"), F.concat(
+        F.element_at(F.array(*map(F.lit, texts)), (F.col("id") % 4 + 1).cast("int")), F.repeat(F.lit(" and so on"), (F.col("id") % 9).cast("int"))).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 4 < 2).cast("int").alias("quality"))
+    one, many = (quality.fit(docs, labels, F.lit(False), block_rows=n) for n in (1 << 20, 512))
+    x = np.stack([quality.features(r["text"]) for r in docs.collect()])
+    for model in (one, many):
+        assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, x.std(axis=0), atol=1e-6)
+        s = np.sort(model.raw(x))
+        assert np.isclose(model.threshold, (s[7999] + s[8000]) / 2)
+        assert ((model.score(x) >= 0.5) == (np.arange(16_000) % 4 < 2)).all()
+    assert np.allclose(many.weights, quality.fit(docs.repartition(7), labels, F.lit(False), block_rows=512).weights)
+
+
+def test_quality_pairs_hold_every_row_and_rare_labels_reach_every_block(spark):
+    for y in ([1, 0, 0, 0, 0], [1, 1, 1, 0, 1], [1, 0], [1] * 7 + [0] * 7):
+        y = np.array(y)
+        good, bad = quality.block_pairs(y, 4)
+        assert set(good) | set(bad) == set(range(len(y))) and (y[good] == 1).all() and (y[bad] == 0).all()
+        assert len(set(zip(good, bad))) == len(good)
+    assert len(quality.block_pairs(np.ones(3), 4)[0]) == 0
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3, "$ $ $ $").otherwise(
+        F.concat(F.lit("calm words on the sea "), F.col("id").cast("string"))).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") >= 3).cast("int").alias("quality"))
+    rows = quality.quality_scores(docs, labels, F.lit(False), block_rows=20).collect()
+    assert all((r["score"] >= 0.5) == (r["doc_id"] >= 3) for r in rows)
