@@ -11,14 +11,16 @@ PIPELINES = ("rule_flag", "stream_flag", "graph_flag")
 
 
 def graph_trade_flags(trades: DataFrame, flagged: DataFrame, key: str = "tx_hash") -> DataFrame:
-    """Per trade: true when its seller or buyer is a flagged address. The
-    flagged ids are de-duplicated first, so the two left joins never
-    multiply rows."""
+    """(key, graph_flag): false for every trade, and true for each side of it
+    that is a flagged address; ``correlate`` takes the largest per key.
+
+    Sellers are looked up once per transaction, and only what is flagged goes on
+    from the two lookups: the trades are dealt out by buyer alone."""
     ids = flagged.select(F.col("id").alias("_a")).where(F.col("_a").isNotNull()).distinct()
-    s = ids.select(F.col("_a").alias("sell_address"), F.lit(True).alias("_fs"))
-    b = ids.select(F.col("_a").alias("buy_address"), F.lit(True).alias("_fb"))
-    j = trades.select(key, "sell_address", "buy_address").join(s, "sell_address", "left").join(b, "buy_address", "left")
-    return j.select(key, (F.coalesce("_fs", F.lit(False)) | F.coalesce("_fb", F.lit(False))).alias("graph_flag"))
+    out = trades.select(key, F.lit(False).alias("graph_flag"))
+    for side in (trades.select(key, F.col("sell_address").alias("_a")).distinct(), trades.select(key, F.col("buy_address").alias("_a"))):
+        out = out.unionByName(side.join(ids, "_a", "left_semi").select(key, F.lit(True).alias("graph_flag")))
+    return out
 
 
 def correlate(rule: DataFrame, stream: DataFrame, graph: DataFrame, key: str = "tx_hash",
