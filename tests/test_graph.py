@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import anomaly as A
@@ -142,3 +143,58 @@ def test_pagerank_rounds_leave_the_edges_where_they_lie(spark, monkeypatch):
     assert sorted(laid.collect()) == sorted(edges.collect()) and laid.rdd.getNumPartitions() == 16
     laid.unpersist()
     assert spark.conf.get(G._FREE_CACHE, "true") == "true"
+
+
+def test_rounds_choose_the_centres_that_the_assignment_chooses(spark):
+    import pyarrow as pa
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(400, 3)), 1)                       # ties between centres
+    centers = [[0.5, 0.0, -0.5], [0.5, 0.0, 0.5], [-1.0, 1.0, 0.0], [0.5, 0.0, -0.5]]
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, scaled array<double>")
+    want = {r.id: (r.prediction, r.distance_to_centroid) for r in A._nearest(df, centers).collect()}
+    xs = ["x0", "x1", "x2"]
+    got = A._assigned(df.withColumns({c: F.col("scaled")[k] for k, c in enumerate(xs)}), centers, xs).collect()
+    assert {r.id: (r.prediction, r.distance_to_centroid) for r in got} == want and len(got) == 400
+    odd = spark.createDataFrame([(0, None, 0.0, 0.0), (1, float("nan"), 0.0, 0.0), (2, 0.5, 0.0, 0.5)], "id long, x0 double, x1 double, x2 double")
+    got = A._assigned(odd, centers, xs).orderBy("id").collect()
+    assert [r.prediction for r in got] == [0, 0, 1] and got[0].distance_to_centroid is None and np.isnan(got[1].distance_to_centroid)
+
+
+def test_a_round_reads_the_features_alone(spark, monkeypatch):
+    # before, every round made the z-scores of all columns again
+    rows = [(f"a{i:03d}", "text", *[float((i * k) % 17) for k in range(1, 8)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id string, symbol string, " + ", ".join(f"{c} double" for c in A.METRIC_FEATURES))
+    written = {}
+    real = A.stored
+    monkeypatch.setattr(A, "stored", lambda d, name: written.setdefault(name, real(d, name)))
+    A.kmeans_clusters(df)
+    assert written["cluster-features"].columns == [f"x{i}" for i in range(7)]
+
+
+def test_metrics_of_repeated_and_unknown_ids(spark):
+    t = _trades(spark, [("a", "b"), ("b", "c"), (None, "c")])
+    v, e = G.build_vertices(t), G.build_edges(t)
+    ranks = spark.createDataFrame([("a", 1.0), ("q", 2.0)], "id string, pagerank double")
+    m = {r.id: r for r in A.address_metrics(v.union(v).where("id != 'c'"), e, t, ranks).collect()}
+    assert sorted(m) == ["a", "b"] and m["a"].pagerank == 1.0 and m["b"].pagerank == 0.0
+    assert m["b"].inDegree == 1 and m["b"].outDegree == 1 and m["a"].symbol == "S" and m["a"].transactions_sent == 1
+
+
+@pytest.mark.parametrize("hot", [1 << 16, 2])
+def test_pagerank_counts_repeated_edges(spark, hot):
+    pairs = [("a", "b")] * 5 + [("a", "c"), ("b", "a"), ("c", "c"), ("c", "b"), ("c", "b")]
+    edges = spark.createDataFrame(pairs, "src string, dst string")
+    ids = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "id string")
+    want = _numpy_pagerank(["a", "b", "c", "d"], pairs)
+    got = {r.id: r.pagerank for r in G.pagerank(ids, edges, hot_degree=hot).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_pagerank_rounds_sort_sources_and_not_edges(spark, monkeypatch):
+    edges = spark.createDataFrame([(f"a{i % 7}", f"a{i}") for i in range(50)], "src string, dst string")
+    ids = spark.createDataFrame([(f"a{i}",) for i in range(50)], "id string")
+    laid = []
+    real = G._laid_out
+    monkeypatch.setattr(G, "_laid_out", lambda df, n, *keys, **kw: laid.append((real(df, n, *keys, **kw), keys)) or laid[-1][0])
+    G.pagerank(ids, edges, iterations=2)
+    assert laid[0][1] == ("src",) and laid[0][0].count() == 7       # before, one row for every edge
