@@ -5,6 +5,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from ledgerlens.streaming import jobs as SJ
+from tests.conftest import SF001
 
 
 def _write(spark, folder, name, rows):
@@ -69,3 +70,32 @@ def test_stream_dedup_keeps_null_hash_trades_of_different_seconds(spark, tmp_pat
     stream = SJ.message_stream(spark, str(tmp_path / "m"), max_files_per_trigger=1)
     out = SJ.run_available_now(SJ.stream_dedup(SJ.stream_features(stream)), "nulls").collect()
     assert sorted(r["unique_id"] for r in out if r["tx_hash"] != "late") == ["None_1000", "None_1001", "h_1000"]
+
+
+def test_messages_are_encoded_once_and_land_twice(spark, monkeypatch):
+    from ledgerlens.plans import q_stream as QS
+    calls, real = [], QS.M.encode_messages
+    monkeypatch.setattr(QS.M, "encode_messages", lambda *a, **k: calls.append(1) or real(*a, **k))
+    landed, write = [], QS._write_messages
+    monkeypatch.setattr(QS, "_write_messages", lambda m, path: landed.append(path) or write(m, path))
+    out = QS.q_stream_dedup_across(spark, SF001)
+    assert len(calls) == 1 and len(landed) == 2                  # before, the second landing was encoded again
+    a, b = (sorted(r.value for r in spark.read.text(p).collect()) for p in landed)
+    assert a == b and len(a) > 1000
+    n = spark.read.parquet(f"{SF001}/lineitem.parquet").select("l_orderkey").distinct().count()
+    assert out.count() == n == out.distinct().count()
+
+
+def test_state_lies_on_disk_unless_the_submitter_names_a_store(spark):
+    key, before = SJ._PROVIDER, spark.conf.get(SJ._PROVIDER)
+    try:
+        SJ.state_on_disk(spark)
+        assert spark.conf.get(key).endswith("RocksDBStateStoreProvider")       # before, all open keys lay in the heap
+        with tempfile.TemporaryDirectory() as d:
+            _write(spark, d, "a.parquet", [(i % 5, i % 3) for i in range(30)] + [(99, 10)])
+            ev = SJ.event_stream(spark, d, glob="*.parquet", recursive=True).withColumn("ts", F.col("ts").cast("timestamp"))
+            one = SJ.stream_dedup(ev, "1 minute", time_col="ts", key="event_id")
+            out = SJ.run_available_now(one, "state", sink_path=d + "/out")
+            assert out.select("window_start", "event_id").distinct().count() == out.count() == 15
+    finally:
+        spark.conf.set(key, before)
